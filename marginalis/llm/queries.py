@@ -7,14 +7,27 @@ from pyspark.sql import functions as F
 
 from marginalis.session import table
 
-from . import textforms
+from . import names, textforms
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return textforms.look_alikes(table(spark, d, "annotations"), "source_sha256", "entry_id", ["comment", "selected_text"])
 
 
-QUERIES = {f.__name__: f for f in (p3_found,)}
+def _links(spark: SparkSession, d: str) -> DataFrame:
+    annotations, entries = table(spark, d, "annotations"), table(spark, d, "entries")
+    return names.link_names(names.distinct_names([annotations.select("raw_author"), annotations.select("reviewer"), entries.select("canonical_author")]))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.linked_pairs(_links(spark, d))
+
+
+def p6_entities(spark: SparkSession, d: str) -> DataFrame:
+    return _links(spark, d)
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p6_found, p6_entities)}
 
 # The oracle of p3 repeats the form's SQL in the oracle's engine; pairing and grouping are its own.
 _FORMS = textforms.canonical_sql(
