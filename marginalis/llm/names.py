@@ -192,7 +192,7 @@ GIVEN_NAMES = {
     "walter": ("walt", "wally"),
     "william": ("bill", "will", "billy", "liam", "willy", "wm", "guillaume"),
     "yasmin": ("yasmine", "jasmine", "yasmeen"),
-    "youssef": ("yousef", "yusuf", "yusef", "joseph", "youssif", "yousif", "josef", "yosef", "jousef"),
+    "youssef": ("yousef", "yusuf", "yusef", "joseph", "youssif", "yousif", "josef", "yosef", "jousef", "joe"),
     "zachary": ("zach", "zack", "zac"),
     "zeinab": ("zaynab", "zainab", "zeina", "zeynep", "zaineb", "zenab", "zineb"),
 }
