@@ -45,3 +45,13 @@ def hot_keys(df: DataFrame, key: str, support: float = 0.02) -> list:
     """
     row = df.stat.freqItems([key], support).first()
     return [] if row is None else [x for x in row[0] if x is not None]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores.
+
+    For steps that compute long on few rows: adaptive execution would leave
+    them in one partition.  Inputs with more partitions stay as they are.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
