@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marginalis.session import table
 
-from . import names, textforms
+from . import encoding, names, textforms
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -27,7 +27,17 @@ def p6_entities(spark: SparkSession, d: str) -> DataFrame:
     return _links(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p6_found, p6_entities)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    documents = table(spark, d, "documents").select("doc_id", "text", "source", "lang")
+    return encoding.restore(documents).where("garbled").select("doc_id").distinct()
+
+
+def p9_restored(spark: SparkSession, d: str) -> DataFrame:
+    documents = table(spark, d, "documents").select("doc_id", "text", "source", "lang")
+    return encoding.restore(documents).where("garbled").select("doc_id", "restored", "chains", "whole")
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p6_found, p6_entities, p9_found, p9_restored)}
 
 # The oracle of p3 repeats the form's SQL in the oracle's engine; pairing and grouping are its own.
 _FORMS = textforms.canonical_sql(
