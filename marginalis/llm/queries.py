@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from marginalis.session import table
 
-from . import encoding, names, textforms
+from . import encoding, mixing, names, packing, textforms
+from .tokens import token_counts
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -27,6 +28,26 @@ def p6_entities(spark: SparkSession, d: str) -> DataFrame:
     return _links(spark, d)
 
 
+def _sized(spark: SparkSession, d: str) -> DataFrame:
+    return token_counts(table(spark, d, "documents").select("doc_id", "text", "source"), "text").drop("text")
+
+
+def p7_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.harmonic_packing(_sized(spark, d), table(spark, d, "containers"))
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill_report(p7_packing(spark, d), table(spark, d, "containers"))
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_sources(_sized(spark, d), table(spark, d, "mix_targets"))[0]
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_sources(_sized(spark, d), table(spark, d, "mix_targets"))[1]
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     documents = table(spark, d, "documents").select("doc_id", "text", "source", "lang")
     return encoding.restore(documents).where("garbled").select("doc_id").distinct()
@@ -37,7 +58,7 @@ def p9_restored(spark: SparkSession, d: str) -> DataFrame:
     return encoding.restore(documents).where("garbled").select("doc_id", "restored", "chains", "whole")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p6_found, p6_entities, p9_found, p9_restored)}
+QUERIES = {f.__name__: f for f in (p3_found, p6_found, p6_entities, p7_packing, p7_fill, p8_mix, p8_shares, p9_found, p9_restored)}
 
 # The oracle of p3 repeats the form's SQL in the oracle's engine; pairing and grouping are its own.
 _FORMS = textforms.canonical_sql(
