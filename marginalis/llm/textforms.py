@@ -81,34 +81,60 @@ def _quote(text: str) -> str:
 
 
 def _class(chars: str) -> str:
-    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]"
+    """Regular-expression class, neighbouring characters as ranges."""
+    runs: list[list[int]] = []
+    for code in sorted(map(ord, set(chars))):
+        if runs and code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs) + "]"
+
+
+@cache
+def touched() -> str:
+    """Class of all characters that the mapping or NFC may change."""
+    single, several, invisible = mappings()
+    moved = [chr(c) for c in range(0xA0, sys.maxunicode + 1) if unicodedata.combining(chr(c)) or (not 0xAC00 <= c < 0xD7A4 and unicodedata.normalize("NFC", chr(c)) != chr(c))]
+    # Hangul vowels and finals compose, too
+    return _class("".join(sorted({*single, *several, *invisible, *moved, *map(chr, range(0x1161, 0x11C3)), FARSI_YEH, FARSI_KAF})))
 
 
 def canonical_sql(relation: str, text: str = "text", out: str = "form") -> str:
-    """SELECT of all columns of ``relation`` and the one form of ``text``."""
+    """SELECT of all columns of ``relation`` and the one form of ``text``.
+
+    The steps in order: invisible characters go; compatibility forms that
+    print alike become what they stand for; letters of one shape become the
+    Latin ones, before and after accents are composed, as a composed letter
+    may be a look-alike; Farsi yeh and kaf become the Arabic letters they look
+    like at their place in the word; white space collapses.  Each text takes
+    only the steps that its characters call for: a scan for the characters a
+    step changes costs a small part of the step.
+    """
     single, several, invisible = mappings()
     table = f"{_quote(''.join(single))}, {_quote(''.join(single.values()))}"
-    # 'several' holds some hundred forms: a list of its characters is only built for texts that have one
     keys = "[" + ", ".join(map(_quote, several)) + "]"
     values = "[" + ", ".join(map(_quote, several.values())) + "]"
     forms = f"map({keys}, {values})"
     letter = r"[\x{0620}-\x{064a}\x{066e}-\x{06d3}]"
     mark = r"[\x{0640}\x{064b}-\x{065f}\x{0670}]*"
+    has = lambda chars: f"regexp_matches(t, {_quote(_class(chars))})"
     steps = [
-        f"regexp_replace({text}, {_quote(_class(invisible))}, '', 'g')",
-        f"CASE WHEN regexp_matches(t, {_quote(_class(''.join(several)))}) THEN "
+        f"CASE WHEN odd THEN regexp_replace(t, {_quote(_class(invisible))}, '', 'g') ELSE t END",
+        f"CASE WHEN odd AND {has(''.join(several))} THEN "
         f"list_aggregate(list_transform(string_split(t, ''), lambda c: coalesce(map_extract({forms}, c)[1], c)), 'string_agg', '') ELSE t END",
-        f"translate(nfc_normalize(translate(t, {table})), {table})",
-        "nfc_normalize(t)",
-        f"CASE WHEN contains(t, '{FARSI_YEH}') OR contains(t, '{FARSI_KAF}') THEN "
+        f"CASE WHEN odd AND {has(''.join(single))} THEN translate(t, {table}) ELSE t END",
+        "CASE WHEN odd THEN nfc_normalize(t) ELSE t END",
+        f"CASE WHEN odd AND {has(''.join(single))} THEN nfc_normalize(translate(t, {table})) ELSE t END",
+        f"CASE WHEN odd AND (contains(t, '{FARSI_YEH}') OR contains(t, '{FARSI_KAF}')) THEN "
         f"replace(replace(regexp_replace(regexp_replace(t, '{FARSI_YEH}({mark}{letter})', '{YEH}\\1', 'g'), '{FARSI_YEH}({mark}{letter})', '{YEH}\\1', 'g'), "
         f"'{FARSI_YEH}', '{ALEF_MAKSURA}'), '{FARSI_KAF}', '{KAF}') ELSE t END",
-        r"trim(regexp_replace(t, '\s+', ' ', 'g'))",
+        r"trim(CASE WHEN regexp_matches(t, '[\t-\r]|  ') THEN regexp_replace(t, '\s+', ' ', 'g') ELSE t END)",
     ]
-    sql = f"SELECT *, {steps[0]} AS t FROM {relation}"
-    for step in steps[1:]:
+    sql = f"SELECT *, {text} AS t, strlen({text}) > length({text}) AND regexp_matches({text}, {_quote(touched())}) AS odd FROM {relation}"
+    for step in steps:
         sql = f"SELECT * REPLACE ({step} AS t) FROM ({sql})"
-    return f"SELECT * RENAME (t AS {out}) FROM ({sql})"
+    return f"SELECT * EXCLUDE (odd) RENAME (t AS {out}) FROM ({sql})"
 
 
 def canonical_texts(df: DataFrame, text: str, out: str = "form") -> DataFrame:
