@@ -220,14 +220,28 @@ class Model:
         it stands; 0 if it isn't."""
         return min(0.0, math.log((self.words[word_bucket(made)] + 1.0) / (self.words[word_bucket(raw)] + 1.0)))
 
-    def posterior(self, options: list[tuple[int, str]], group: int, language: int, log_prior: np.ndarray | None = None) -> np.ndarray:
-        prior = self.log_prior[group] if log_prior is None else log_prior
+    def scores(self, options: list[tuple[int, str]], language: int) -> np.ndarray:
+        """Log likelihood of each reading, without the chains' frequencies."""
         raw = options[0][1]
-        score = np.array(
-            [prior[c] + self.log_likelihood(t, language) + (self.log_attested(raw, t) if c and "utf-8" not in CHAINS[c] else 0.0) for c, t in options]
-        )
-        score = np.exp(score - score.max())
-        return score / score.sum()
+        return np.array([self.log_likelihood(t, language) + (self.log_attested(raw, t) if c and "utf-8" not in CHAINS[c] else 0.0) for c, t in options])
+
+
+#: Readings this much less likely than the word as it stands (a natural
+#: logarithm) are left out: no record's chain frequencies could make up for it.
+HOPELESS = 16.0
+
+
+def posterior(chains: np.ndarray, scores: np.ndarray, log_prior: np.ndarray) -> np.ndarray:
+    score = log_prior[chains] + scores
+    score = np.exp(score - score.max())
+    return score / score.sum()
+
+
+def likely(options: list[tuple[int, str]], scores: np.ndarray) -> tuple[list[tuple[int, str]], np.ndarray, np.ndarray]:
+    """The readings that aren't hopeless: (options, their chains, scores)."""
+    keep = [i for i in range(len(options)) if i == 0 or scores[i] > scores[0] - HOPELESS]
+    kept = [options[i] for i in keep]
+    return kept, np.array([c for c, _ in kept]), scores[keep]
 
 
 def group_of(source: str | None, lang: str | None) -> int:
@@ -300,7 +314,11 @@ def _expect(model: Model | None):
                 options = [(o["chain"], o["text"]) for o in options]
                 if options[0][0] == LOST:
                     continue
-                post = np.eye(1, len(options))[0] if model is None else model.posterior(options, grp, language)
+                if model is None:
+                    options, post = options[:1], (1.0,)
+                else:
+                    options, numbers, scores = likely(options, model.scores(options, language))
+                    post = posterior(numbers, scores, model.log_prior[grp]) if len(options) > 1 else (1.0,)
                 for (chain, text), w in zip(options, post, strict=True):
                     if w < 1e-4:
                         continue
@@ -318,7 +336,7 @@ def _expect(model: Model | None):
     return run
 
 
-def repair_text(text: str, model: Model, group: int, language: int, memo: dict[str, list[tuple[int, str]]]) -> tuple[str, float, list[str], bool]:
+def repair_text(text: str, model: Model, group: int, language: int, memo: dict[tuple[str, int], tuple]) -> tuple[str, float, list[str], bool]:
     """(restored text, words damaged, chains, whether all of it is restored).
 
     The record's own words shift the chain frequencies of its group: two rounds
@@ -326,32 +344,36 @@ def repair_text(text: str, model: Model, group: int, language: int, memo: dict[s
     """
     parts = _SPLIT.split(text)
     odd = [i for i, w in enumerate(parts) if not w.isascii()]
+    mass, options = np.zeros(len(CHAINS)), {}
     for i in odd:
-        if parts[i] not in memo:
+        key = (parts[i], language)
+        if key not in memo:
             if len(memo) > 200_000:
                 memo.clear()
-            memo[parts[i]] = readings(parts[i])
-    options = {i: memo[parts[i]] for i in odd}
-    open_ = [i for i in odd if len(options[i]) > 1]
-    base, prior, posts = np.exp(model.log_prior[group]), None, {}
-    for _ in range(3):
-        posts = {i: model.posterior(options[i], group, language, prior) for i in open_}
-        mass = np.zeros(len(CHAINS))
-        for i in odd:
-            for (chain, _t), w in zip(options[i], posts.get(i, (1.0,)), strict=True):
-                mass[chain] += w
-        mixed = mass + 20.0 * base
+            found = readings(parts[i])
+            memo[key] = (found, None, None) if len(found) == 1 else likely(found, model.scores(found, language))
+        if len(memo[key][0]) > 1:
+            options[i] = memo[key]
+        else:
+            mass[memo[key][0][0][0]] += 1
+            if memo[key][0][0][0] == LOST:
+                options[i] = memo[key]
+    open_ = [i for i in options if len(options[i][0]) > 1]
+    prior, posts, own = model.log_prior[group], {}, 20.0 * np.exp(model.log_prior[group])
+    for _ in range(3 if open_ else 0):
+        posts = {i: posterior(options[i][1], options[i][2], prior) for i in open_}
+        mixed = mass + own
+        for i in open_:
+            np.add.at(mixed, options[i][1], posts[i])
         prior = np.log(mixed / mixed.sum())
     damaged, used, whole = 0, set(), True
-    for i in odd:
-        if options[i][0][0] == LOST:
-            made, chain = options[i][0][1], LOST
+    for i in options:
+        if i not in posts:
+            chain, made = options[i][0][0]
             whole &= "\ufffd" not in made
         else:
-            if i not in posts:
-                continue
             k = int(np.argmax(posts[i]))
-            chain, made = options[i][k]
+            chain, made = options[i][0][k]
             if chain == 0 or posts[i][0] > 0.1:
                 continue
         damaged += 1
