@@ -312,9 +312,22 @@ def sure_key(profile: dict) -> str:
     return ("o " + profile["forms"][0]) if profile["kind"] == "org" else "h " + ";".join(profile["hints"] + profile["middle"])
 
 
-def deletions(text: str) -> set[str]:
-    """The text and it less one letter: two texts one edit apart share one."""
-    return {text, *(text[:i] + text[i + 1 :] for i in range(len(text)))}
+#: Longer texts are compared by halves, as their deletions would take up the square of their length.
+LONG = 64
+
+
+def edit_keys(text: str) -> set[str]:
+    """Keys of which two texts one edit apart share one.
+
+    Short texts: the text, and it less one letter.  Long ones: the beginning
+    and the end at the middle and one letter around it; an edit leaves one of
+    them as it is.  Texts about as long as the limit have both.
+    """
+    keys = {text, *(text[:i] + text[i + 1 :] for i in range(len(text)))} if len(text) <= LONG + 1 else set()
+    if len(text) >= LONG:
+        middle = len(text) // 2
+        keys |= {f"<{text[:h]}" for h in (middle - 1, middle, middle + 1)} | {f">{text[h:]}" for h in (middle - 1, middle, middle + 1)}
+    return keys
 
 
 #: Spellings that a mistyped profile has at most; one with more is a name of its own.
@@ -328,7 +341,7 @@ def blocking_rows(cid: str, forms: list[str], middle: list[str], hints: list[str
     offered, sought = set(), set()
     known = "".join(sorted(set(middle)))
     for f in forms:
-        for key in deletions(f):
+        for key in edit_keys(f):
             offered.add(row("o", "typo", key, f))
         if "|" in f:
             given, surname = f.split("|")
@@ -344,14 +357,14 @@ def blocking_rows(cid: str, forms: list[str], middle: list[str], hints: list[str
                 offered.add(row("o", "short", " ".join(parts[:-1])))
             sought.add(row("s", "short", f))
         if spellings <= MISTYPED:
-            for key in deletions(f):
+            for key in edit_keys(f):
                 sought.add(row("s", "typo", key, f))
     if not forms:
         for h in hints:
             kind, key = h.split(" ", 1)
             sought.add(row("s", kind, key, known))
             if kind == "nick":
-                for part in deletions(key):
+                for part in edit_keys(key):
                     sought.add(row("s", "typo", part, key))
     yield from offered
     yield from sought
@@ -365,7 +378,7 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for name, count in zip(batch["name"], batch["count"], strict=True):
-            p = read_name(name)
+            p = read_name(name) if isinstance(name, str) else None
             if p is not None:
                 out.append((name, sure_key(p), p["forms"], p["middle"], p["hints"], count))
         yield pd.DataFrame(out, columns=["name", "sure", "forms", "middle", "hints", "count"])
@@ -448,7 +461,7 @@ def link_names(names: DataFrame) -> DataFrame:
 
 def _one_edit(a: str, b: str) -> "F.Column":
     letters = lambda c: F.array_sort(F.split(F.col(c), ""))
-    distance = F.levenshtein(F.col(a), F.col(b))
+    distance = F.levenshtein(F.col(a), F.col(b), 2)
     return (distance == 1) | ((distance == 2) & (F.length(a) == F.length(b)) & (letters(a) == letters(b)))
 
 
