@@ -58,7 +58,7 @@ def keyed_json(spark: SparkSession, path: str, value: T.StructType, key: str) ->
     as_list = F.from_json("value", T.ArrayType(value))
     as_map = F.from_json("value", T.MapType(T.StringType(), value))
     listed = whole.where(F.ltrim("value").startswith("[")).select(F.explode(as_list).alias("r")).select("r.*")
-    mapped = whole.where(F.ltrim("value").startswith("{")).select(F.explode(as_map).alias("k", "r")).select("k", "r.*").withColumn(key, F.coalesce(key, F.col("k"))).drop("k")
+    mapped = whole.where(F.ltrim("value").startswith("{")).select(F.explode(as_map).alias("_key", "r")).select("_key", "r.*").withColumn(key, F.coalesce(key, "_key")).drop("_key")
     return listed.unionByName(mapped)
 
 
