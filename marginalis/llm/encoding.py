@@ -230,6 +230,10 @@ class Model:
 #: logarithm) are left out: no record's chain frequencies could make up for it.
 HOPELESS = 16.0
 
+#: A word counts as damaged if the chance that it is meant as it stands is no
+#: larger; less for words of a single letter or sign, which fit many chains.
+CLEAN, CLEAN_THIN = 0.5, 0.1
+
 
 def posterior(chains: np.ndarray, scores: np.ndarray, log_prior: np.ndarray) -> np.ndarray:
     score = log_prior[chains] + scores
@@ -296,11 +300,11 @@ def fit(words: DataFrame, rounds: int = 4) -> Model:
             filled[rows["i"].to_numpy(), rows["j"].to_numpy()] = rows["weight"].to_numpy()
         counted, letters, seen = tables
         if model is not None:
-            # a group leans on all groups as much as on 20 words of its own
+            # a group leans on all groups: as much as on 20 words of its own, and for a fifth in any case
             overall = counted.sum(axis=0) + 1e-2
             overall /= overall.sum()
             counted += 20.0 * overall
-            priors = np.maximum(counted / counted.sum(axis=1, keepdims=True), 1e-7)
+            priors = np.maximum(0.8 * counted / counted.sum(axis=1, keepdims=True) + 0.2 * overall, 1e-7)
         model = Model(priors, letters, seen[0], single=n == 0)
     return model
 
@@ -374,7 +378,7 @@ def repair_text(text: str, model: Model, group: int, language: int, memo: dict[t
         else:
             k = int(np.argmax(posts[i]))
             chain, made = options[i][0][k]
-            if chain == 0 or posts[i][0] > 0.1:
+            if chain == 0 or posts[i][0] > (CLEAN if sum(map(str.isalpha, parts[i])) > 1 else CLEAN_THIN):
                 continue
         damaged += 1
         used.add("<".join(CHAINS[chain]))
@@ -386,9 +390,9 @@ def restore(documents: DataFrame, text: str = "text", source: str = "source", la
     """Add ``garbled`` (boolean), ``restored`` (text), ``chains`` (array) and
     ``whole`` (whether everything garbled could be restored).
 
-    A text is garbled if one of its words is more likely, by nine to one, to
-    come from a wrong decoding than to be meant as it stands, or holds
-    replacement characters.  Null, empty and pure ASCII texts aren't garbled
+    A text is garbled if one of its words is more likely to come from a wrong
+    decoding than to be meant as it stands (by nine to one if it has but one
+    letter or sign), or holds replacement characters.  Null, empty and pure ASCII texts aren't garbled
     and come back as they are; null source and language are a source and a
     language of their own.  Repeated rows are treated alike; an empty table
     gives an empty one.  Texts are read whole, whatever their length.
