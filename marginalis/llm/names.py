@@ -446,13 +446,19 @@ def link_names(names: DataFrame) -> DataFrame:
             .groupBy("cid_a")
             .agg(*[f(F.when(F.col("kind") == "typo" if typo else F.col("kind") != "typo", F.col("cid_b"))).alias(f"{n}_{typo}") for typo in (0, 1) for n, f in (("lo", F.min), ("hi", F.max))])
             # what a hint says outright goes before what it says with an error
-            .select("cid_a", F.when(F.col("lo_0").isNull(), F.when(F.expr("lo_1 = hi_1"), F.col("lo_1"))).when(F.expr("lo_0 = hi_0"), F.col("lo_0")).alias("cid_b"))
+            .select(
+                "cid_a", F.col("lo_0").isNull().alias("mistyped"),
+                F.when(F.col("lo_0").isNull(), F.when(F.expr("lo_1 = hi_1"), F.col("lo_1"))).when(F.expr("lo_0 = hi_0"), F.col("lo_0")).alias("cid_b"),
+            )
             .where("cid_b is not null")
         )
         found = cut(found)
-        settled = found.join(found.select(F.col("cid_a").alias("cid_b")), "cid_b", "left_anti")
         if found.isEmpty():
             break
+        # errors are looked at once nothing else merges: until then a name may have more spellings than it seems
+        sure = found.where("not mistyped")
+        found = (found if sure.isEmpty() else sure).drop("mistyped")
+        settled = found.join(found.select(F.col("cid_a").alias("cid_b")), "cid_b", "left_anti")
         members = members.join(settled.withColumnRenamed("cid_a", "entity"), "entity", "left").select(
             "name", F.coalesce("cid_b", "entity").alias("entity"), "forms", "middle", "hints", "count"
         )
