@@ -105,8 +105,38 @@ select coalesce(n.drive_file_id, p.drive_file_id) as drive_file_id, coalesce(n.v
        case when p.s is null then 'NEW' when n.s is null then 'REMOVED' else 'UPDATED' end as change_type
 from n full join p on n.k = p.k and n.entry_id = p.entry_id where n.s is distinct from p.s"""
 
+# The formats in groups, each by a pattern of its own.  DuckDB takes wall time that occurs twice for the
+# later instant, so the one an hour or, on Lord Howe, half an hour before is tried.
+_INSTANTS = r"""
+with z as (select * from desks), raw as (
+ select 'annotations' as table_name, trim(entry_id) as record_key, 'created' as field, desk_id, created as v from annotations
+ union all select 'annotations', trim(entry_id), 'modified', desk_id, modified from annotations
+ union all select 'files', cast(file_log_id as varchar), 'processed_at', desk_id, processed_at from files),
+t as (select distinct r.table_name, r.record_key, r.field, z.zone_name, z.date_order, translate(trim(v), '٠١٢٣٤٥٦٧٨٩', '0123456789') as v
+ from raw r left join z using (desk_id) where v is not null and not regexp_matches(v, '^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}Z$')),
+a as (select *, regexp_extract(v, '^(?:D:)?(\d{4})-?(\d\d)-?(\d\d)[T ]?(\d\d):?(\d\d)(?::?(\d\d))?(?:\.(\d+))?(Z|Z00''00''|[+-]\d\d[:'']?\d\d''?)?(?:\[[^\]]+\]| ([A-Za-z_]+(?:/[A-Za-z_]+)*))?$', ['y','mo','d','h','mi','s','f','off','zn']) as x,
+ regexp_extract(v, '^(\d{1,4})/(\d{1,2})/(\d{1,4}) (\d{1,2}):(\d\d)(?::(\d\d))?(?: ([AP])M)?$', ['a','b','c','h','mi','s','ap']) as n,
+ regexp_extract(v, '^([A-Z][a-z][a-z]) (\d{1,2}), (\d{4}) (\d{1,2}):(\d\d) ([AP])M$', ['mo','d','y','h','mi','ap']) as m,
+ regexp_extract(v, '^(?:[A-Z][a-z][a-z], )?(\d{1,2}) ([A-Z][a-z][a-z]) (\d{4}) (\d\d):(\d\d):(\d\d) (\S+)$', ['d','mo','y','h','mi','s','off']) as r from t),
+c as (select table_name, record_key, field, v, zone_name,
+ case when x.y <> '' then x.y || '-' || x.mo || '-' || x.d || ' ' || x.h || ':' || x.mi || ':' || coalesce(nullif(x.s, ''), '00')
+  when n.mi <> '' then case when length(n.a) = 4 then n.a || '-' || n.b || '-' || n.c when date_order = 'MDY' then n.c || '-' || n.a || '-' || n.b else n.c || '-' || n.b || '-' || n.a end
+   || ' ' || case when n.ap = '' then n.h else cast(try_cast(n.h as int) % 12 + case n.ap when 'P' then 12 else 0 end as varchar) end || ':' || n.mi || ':' || coalesce(nullif(n.s, ''), '00')
+  when m.y <> '' then m.y || '-' || list_position(['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec'], m.mo) || '-' || m.d || ' ' || cast(try_cast(m.h as int) % 12 + case m.ap when 'P' then 12 else 0 end as varchar) || ':' || m.mi || ':00'
+  when r.y <> '' then r.y || '-' || list_position(['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec'], r.mo) || '-' || r.d || ' ' || r.h || ':' || r.mi || ':' || r.s end as wall,
+ coalesce(nullif(x.off, ''), nullif(r.off, ''), '') as off, coalesce(nullif(x.zn, ''), zone_name) as zone, rpad(left(x.f, 6), 6, '0') as f from a),
+e as (select c.*, try_strptime(wall, '%Y-%m-%d %H:%M:%S') as local, ab.offset_minutes from c left join zone_abbreviations ab on ab.abbreviation = c.off),
+g as (select *, case when off = '' and local is not null then (local at time zone zone) end as late from e),
+h as (select *, case when regexp_matches(v, '^\d{10}$') then try_cast(v as bigint) * 1000000 when regexp_matches(v, '^\d{13}$') then try_cast(v as bigint) * 1000
+  when off like 'Z%' then epoch_us(local) when regexp_matches(off, '^[+-]') then epoch_us(local) - (try_cast(substr(off, 2, 2) as bigint) * 60 + try_cast(regexp_extract(off, '^...[:'']?(\d\d)', 1) as bigint)) * 60000000 * case when off like '-%' then -1 else 1 end
+  when off <> '' then epoch_us(local) - offset_minutes::bigint * 60000000
+  when ((late - interval 1 hour) at time zone zone) = local then epoch_us(late - interval 1 hour)
+  when ((late - interval 30 minute) at time zone zone) = local then epoch_us(late - interval 30 minute) else epoch_us(late) end as us from g)
+select distinct table_name, record_key, field, us + coalesce(try_cast(nullif(f, '') as bigint), 0) as utc_us from h where us is not null"""
+
 ORACLES = {
     "p1_found": _FOUND_SNAPSHOTS,
+    "p2_found": _INSTANTS,
     "p4_found": _HISTORY + " from n where s <> ''",
     "p4_history": _HISTORY + ", split_part(s, chr(31), 1) as entry_signature, split_part(s, chr(31), 2) as canonical_author from n where s <> ''",
     "p5_found": _THREADS
