@@ -395,13 +395,15 @@ def restore(documents: DataFrame, text: str = "text", source: str = "source", la
     letter or sign), or holds replacement characters.  Null, empty and pure ASCII texts aren't garbled
     and come back as they are; null source and language are a source and a
     language of their own.  Repeated rows are treated alike; an empty table
-    gives an empty one.  Texts are read whole, whatever their length.
+    gives an empty one.  Texts are read whole, whatever their length.  Columns
+    with the names of the added ones are replaced.
 
     Plan: one pass counts words beyond ASCII with map-side combine, a fixed
     number of passes over that vocabulary estimates the model, and one pass
     without a shuffle repairs the records.  Only tables of fixed size reach the
     driver and go out with the tasks.
     """
+    documents = documents.drop("garbled", "restored", "chains", "whole")
     model = fit(vocabulary(documents, text, source, lang), rounds)
     names = documents.columns
     schema = T.StructType(

@@ -145,21 +145,26 @@ def canonical_texts(df: DataFrame, text: str, out: str = "form") -> DataFrame:
     are stored and the script of a same-shaped letter are evened out; case,
     accents, raised digits, punctuation and lengths of dashes stay.  Null stays
     null; empty and blank texts, or invisible ones, become ''.  Texts may be of
-    any length.
+    any length.  A column named ``out`` is replaced.
     """
-    sql = canonical_sql("batch", text, out)
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
-    names = schema.fieldNames()
+    sql = canonical_sql("batch", "text", "form")
+    if out != text:
+        df = df.drop(out)
+    kept = [f for f in df.schema.fields if f.name != out]
+    schema = T.StructType([*kept, T.StructField(out, T.StringType())])
+    names, at = schema.fieldNames(), df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb
 
+        # one thread keeps the order of rows; the text alone goes in, so no column's name can clash
         con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         for item in batches:
-            con.register("batch", pa.Table.from_batches([item]))
-            made = con.sql(sql).to_arrow_table().select(names)
+            con.register("batch", pa.table({"text": item.column(at)}))
+            made = con.sql(sql).to_arrow_table().column("form").cast(pa.string()).combine_chunks()
             con.unregister("batch")
-            yield from made.combine_chunks().to_batches()
+            others = [c for c, n in zip(item.columns, item.schema.names, strict=True) if n != out]
+            yield pa.RecordBatch.from_arrays([*others, made.combine_chunks() if isinstance(made, pa.ChunkedArray) else made], names=names)
 
     return df.mapInArrow(run, schema)
 

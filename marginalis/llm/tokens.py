@@ -17,10 +17,11 @@ TOKENIZER = os.environ.get("MARGINALIS_TOKENIZER", "/opt/tokenizers/byte_bpe_50k
 
 def token_counts(df: DataFrame, text: str, out: str = "tokens", tokenizer: str = TOKENIZER) -> DataFrame:
     """Add ``out``, the number of tokens of ``text``; 0 for null and empty
-    texts.  Texts are read whole.  The driver reads the vocabulary file and
+    texts.  Texts are read whole; a column named ``out`` is replaced.  The driver reads the vocabulary file and
     sends it along, so executors need no copy of it."""
     with open(tokenizer, encoding="utf-8") as f:
         sent = df.sparkSession.sparkContext.broadcast(f.read())
+    df = df.drop(out)
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.LongType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -31,7 +31,7 @@ def corpus(n=900, share=0.08):
 
 def test_found_and_restored(spark):
     rows = corpus()
-    df = spark.createDataFrame([(*x[:4], "clash") for x in rows], "doc_id long, text string, source string, lang string, word string")
+    df = spark.createDataFrame([(*x[:4], "clash", 7) for x in rows], "doc_id long, text string, source string, lang string, word string, garbled int")
     got = {r.doc_id: r for r in encoding.restore(df).collect()}
     assert len(got) == len(rows) and got[0].word == "clash"
     damaged = {x[0] for x in rows if x[1] != x[4]}

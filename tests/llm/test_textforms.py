@@ -54,3 +54,10 @@ def test_oracle(spark):
 @pytest.mark.parametrize("table", textforms.LOOKALIKES)
 def test_tables_are_letters_one_to_one(table):
     assert len(table[0]) == len(table[1]) and all(c.isalpha() for c in "".join(table))
+
+
+def test_clashing_columns_and_order(spark):
+    df = spark.createDataFrame([(i, f"ａ{i}", "old", "x", True, f"T{i}") for i in range(500)], "i int, text string, form string, t string, odd boolean, `T2` string")
+    rows = textforms.canonical_texts(df, "text").collect()
+    assert all(r.form == f"a{r.i}" and r.text == f"ａ{r.i}" and r.t == "x" and r.odd and r.T2 == f"T{r.i}" for r in rows)
+    assert textforms.canonical_texts(df, "text", "text").where("text like 'a%'").count() == 500
