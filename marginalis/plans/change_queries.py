@@ -75,7 +75,7 @@ c as (select * from l where p is null or p <> s),
 n as (select *, lead(u) over (partition by document_key, entry_id order by u) as t from c)
 select document_key, entry_id, u as valid_from_us, coalesce(t, -1) as valid_to_us"""
 
-_THREADS = """
+THREADS = """
 with recursive
 n as (select trim(source_sha256) as scope, trim(entry_id) as node,
              nullif(min(case when upper(trim(relation_type)) = 'REPLY' then coalesce(trim(parent_entry_id), '') else '' end), '') as parent
@@ -139,10 +139,10 @@ ORACLES = {
     "p2_found": _INSTANTS,
     "p4_found": _HISTORY + " from n where s <> ''",
     "p4_history": _HISTORY + ", split_part(s, chr(31), 1) as entry_signature, split_part(s, chr(31), 2) as canonical_author from n where s <> ''",
-    "p5_found": _THREADS
+    "p5_found": THREADS
     + """select distinct n.node as entry_id, coalesce(a.root, '') as root_entry_id, cast(coalesce(a.depth, -1) as bigint) as depth
 from n left join a on a.scope = n.scope and a.node = n.node where n.parent is not null""",
-    "p5_descendants": _THREADS
+    "p5_descendants": THREADS
     + """select scope, unnest(path[1:len(path) - 1]) as ancestor, node, cast(len(path) - unnest(range(1, len(path))) as bigint) as distance
 from a where len(path) > 1""",
 }

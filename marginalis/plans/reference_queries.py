@@ -14,6 +14,7 @@ from ..functions import scalars as S
 from ..operators import alerts, authors, changes, output, pages, registry, review
 from ..operators.hierarchy import resolve_threads
 from ..session import table
+from .change_queries import THREADS
 
 QUERIES, ORACLES = {}, {}
 
@@ -117,7 +118,10 @@ def q06_mapping_coverage(spark: SparkSession, d: str) -> DataFrame:
     return pages.mapping_coverage(_mapped(spark, d), "document_key", "mapped_page", 30)
 
 
-@query()
+@query(
+    f"""{THREADS} select n.scope, n.node, case when a.node is null then 'cycle' when a.root = '' then 'orphan' else 'ok' end as status,
+ coalesce(a.root, '') as root, cast(coalesce(a.depth, -1) as bigint) as depth from n left join a on a.scope = n.scope and a.node = n.node"""
+)
 def q07_thread_roots(spark: SparkSession, d: str) -> DataFrame:
     return resolve_threads(table(spark, d, "annotations"), is_child=F.col("relation_type") == "REPLY").select("scope", "node", "status", "root", "depth")
 
