@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import digest
+from ..session import cut, digest, hot_keys
 from .ordered import neighbour
 
 
@@ -31,8 +31,11 @@ def snapshot_order(versions: DataFrame, series: str, snapshot: str, time: Column
     one = rows.groupBy("skey").agg(
         F.min(F.struct("us", "snapshot", "series")).alias("m")
     ).select("skey", "m.us", "m.snapshot", "m.series")
-    ahead = neighbour(one, "series", ["us", "skey"], F.col("skey"), "next", 1)
-    return ahead
+    one = cut(one)
+    hot = hot_keys(one, "series")
+    ahead = neighbour(one, "series", ["us", "skey"], F.col("skey"), "next", 1, hot)
+    both = neighbour(ahead, "series", ["us", "skey"], F.lit(True), "has_before", -1, hot)
+    return cut(both)
 
 
 def except_all_both_ways(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -75,9 +78,6 @@ def snapshot_changes(
     map-side combine; EXCEPT ALL and the full join reuse that partitioning.
     """
     order = snapshot_order(versions, series, snapshot, F.try_to_timestamp(F.col(time)))
-    targets = order.join(
-        order.select(F.col("next").alias("skey"), F.lit(True).alias("has_before")).where("skey is not null"), "skey", "left"
-    )
     rows = entries.select(
         digest(same_id(F.col(snapshot))).alias("skey"),
         F.regexp_replace(F.col(entry), r"(?U)^\s+|\s+$", "").alias("entry"),
@@ -88,7 +88,7 @@ def snapshot_changes(
         ).alias("state"),
     ).where("entry <> ''")
     sides = (
-        rows.join(targets.select("skey", "next", "has_before"), "skey")
+        rows.join(order.select("skey", "next", "has_before"), "skey")
         .select(
             F.explode(
                 F.filter(
