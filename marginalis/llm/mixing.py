@@ -29,7 +29,8 @@ def blocks_of(documents: DataFrame, doc: str, source: str, tokens: str, block: i
     rows = documents.select(
         F.col(source).alias("source"), F.col(doc).alias("doc"), F.col(tokens).alias("n"), F.pmod(F.xxhash64(doc, F.lit(1)), F.lit(CHUNKS)).alias("chunk"), F.xxhash64(doc).alias("h")
     ).where("n > 0 and trim(source) <> ''")
-    placed = with_offset(rows, ["source"], "chunk", ["h", "doc", "n"], "n", "at")
+    # the running totals read the rows twice, and sizes take long to count
+    placed = with_offset(cut(rows), ["source"], "chunk", ["h", "doc", "n"], "n", "at")
     return placed.select(
         "source", "doc", "at", "n", F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("n") - 1) / block))).alias("block")
     ).select(
