@@ -12,11 +12,14 @@ weak to tell by themselves lean on the rest of their source and record.
 from __future__ import annotations
 
 import codecs
+import heapq
 import math
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -107,10 +110,11 @@ def readings(word: str) -> list[tuple[int, str]]:
     """(chain, text) for each chain that may have made the word; clean first.
 
     Chains between one-byte encodings undo almost anything; only those that
-    give one script without control characters count.
+    give one script without control characters count.  A word with replacement
+    characters has each of its fillings.
     """
     if "\ufffd" in word:
-        return [(LOST, _fill(word))]
+        return [(LOST, "".join(made)) for made in product(*(fillings(word) or [[word]]))]
     out, seen = [(0, word)], {word}
 
     def add(i: int, made: str) -> None:
@@ -139,24 +143,34 @@ def _table(name: str) -> dict[int, str]:
     return dict(enumerate(letters_of(name)))
 
 
-def _fill(word: str) -> str:
-    """A word with replacement characters, as far as it can be restored: the
-    bytes that cp1252 leaves undefined are tried where UTF-8 was read as it."""
+def fillings(word: str) -> list[list[str]] | None:
+    """The letters that may have stood at each place of a word with replacement
+    characters, if UTF-8 was read as cp1252; None if it can't have been.
+
+    What cp1252 leaves undefined are inner bytes of UTF-8 only, so the bytes
+    that are left tell where letters begin, and places don't depend on each
+    other.  No word that goes on begins with a combining mark.
+    """
     table = {c: b for b, c in enumerate(letters_of("cp1252"))}
-    options: list[bytes] = [b""]
-    for ch in word:
-        if ch == "\ufffd":
-            options = [o + bytes([b]) for o in options for b in UNDEFINED][:625]
-        elif ch in table:
-            options = [o + bytes([table[ch]]) for o in options]
-        else:
-            return word
-    for made in options:
-        try:
-            return made.decode("utf-8")
-        except UnicodeDecodeError:
-            continue
-    return word
+    if any(ch != "\ufffd" and ch not in table for ch in word):
+        return None
+    raw, out, at = [UNDEFINED if ch == "\ufffd" else (table[ch],) for ch in word], [], 0
+    while at < len(raw):
+        lead = raw[at][0]
+        end = at + (1 if lead < 0xC0 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
+        letters = []
+        for made in product(*raw[at:end]):
+            try:
+                letters.append(bytes(made).decode("utf-8"))
+            except UnicodeDecodeError:
+                continue
+        if not letters:
+            return None
+        out.append(letters)
+        at = end
+    if len(out) > 1:
+        out[0] = [c for c in out[0] if not unicodedata.category(c).startswith("M")] or out[0]
+    return out
 
 
 _SPLIT = re.compile(r"([ \t\r\n]+)")
@@ -210,11 +224,15 @@ class Model:
                     base = (every[first] + 1e-3) / (total + 50.0)
                     out += math.log((own[first] + 20.0 * base) / (size + 20.0))
                 else:
-                    base = (every[pair] + 1e-3) / (every[first] + 50.0)
-                    out += math.log((own[pair] + 20.0 * base) / (own[first] + 20.0))
+                    out += self.log_pair(pair, first, language)
             self._memo[key] = out
         return self._memo[key]
 
+    def log_pair(self, pair: int, first: int, language: int) -> float:
+        own, every = self.letters[language], self.all
+        base = (every[pair] + 1e-3) / (every[first] + 50.0)
+        return math.log((own[pair] + 20.0 * base) / (own[first] + 20.0))
+
     def log_attested(self, raw: str, made: str) -> float:
         """How much rarer the reading of a one-byte chain is than the word as
         it stands; 0 if it isn't."""
@@ -248,6 +266,43 @@ def likely(options: list[tuple[int, str]], scores: np.ndarray) -> tuple[list[tup
     return kept, np.array([c for c, _ in kept]), scores[keep]
 
 
+#: Fillings of a word that are looked up as words, the likeliest by their pairs
+#: of letters; the others count by their pairs alone.
+LOOKED_UP = 625
+
+#: The chance from which the likeliest filling is taken for what was meant.
+CLEAR = 0.9
+
+
+def refill(word: str, model: Model, language: int) -> tuple[str, bool]:
+    """(likeliest filling of a word with replacement characters, whether it
+    clearly wins); the word as it stands if there is none.
+
+    Weighed by pairs of letters and by how often the filling occurs as a word.
+    Beginnings that end alike go on alike, so the likeliest of each and the
+    chance of all are carried along, however many bytes are lost.
+    """
+    letters = fillings(word)
+    if letters is None:
+        return word, False
+    shown = lambda c: "0" if c.isdecimal() else c
+    begun, chance = {"\x02": [(0.0, "")]}, {"\x02": 0.0}
+    for options in [*letters, ["\x03"]]:
+        further, sums = {}, {}
+        for ch in options:
+            step = {last: model.log_pair(_bucket(shown(last), shown(ch)), _bucket(shown(last), "\x01"), language) for last in begun}
+            further[ch] = heapq.nlargest(LOOKED_UP, ((s + step[last], made + ch) for last, starts in begun.items() for s, made in starts))
+            sums[ch] = float(np.logaddexp.reduce([chance[last] + step[last] for last in begun]))
+        begun, chance = further, sums
+    made = [text[:-1] for _, text in begun["\x03"]]
+    by_pairs = np.exp(np.array([s for s, _ in begun["\x03"]]) - chance["\x03"])
+    weights = by_pairs * np.array([model.words[word_bucket(t)] + 1.0 for t in made])
+    # what isn't looked up may be as frequent as any word
+    rest = max(0.0, 1.0 - by_pairs.sum()) * (model.words.max() + 1.0) if math.prod(map(len, letters)) > LOOKED_UP else 0.0
+    k = int(np.argmax(weights))
+    return made[k], bool(weights[k] >= CLEAR * (weights.sum() + rest))
+
+
 def group_of(source: str | None, lang: str | None) -> int:
     return zlib.crc32(f"{source or ''}\x1f{lang or ''}".lower().encode()) % GROUPS
 
@@ -280,6 +335,8 @@ def fit(words: DataFrame, rounds: int = 4) -> Model:
     fixed tables (GROUPS x chains, LANGUAGES x BUCKETS, WORDS), which are added up in
     the cluster, so what reaches the driver doesn't grow with the input.
     """
+    # words with lost bytes are no evidence of clean text: they are read by it when they are repaired
+    words = words.where(~F.col("word").contains("\ufffd"))
     listed = cut(
         words.repartition(words.sparkSession.sparkContext.defaultParallelism).mapInPandas(
             lambda batches: (
@@ -316,8 +373,6 @@ def _expect(model: Model | None):
         for batch in batches:
             for grp, language, n, options in batch.itertuples(index=False):
                 options = [(o["chain"], o["text"]) for o in options]
-                if options[0][0] == LOST:
-                    continue
                 if model is None:
                     options, post = options[:1], (1.0,)
                 else:
@@ -354,8 +409,12 @@ def repair_text(text: str, model: Model, group: int, language: int, memo: dict[t
         if key not in memo:
             if len(memo) > 200_000:
                 memo.clear()
-            found = readings(parts[i])
-            memo[key] = (found, None, None) if len(found) == 1 else likely(found, model.scores(found, language))
+            if "\ufffd" in parts[i]:
+                filled, clear = refill(parts[i], model, language)
+                memo[key] = ([(LOST, filled)], None, clear)
+            else:
+                found = readings(parts[i])
+                memo[key] = (found, None, None) if len(found) == 1 else likely(found, model.scores(found, language))
         if len(memo[key][0]) > 1:
             options[i] = memo[key]
         else:
@@ -373,8 +432,7 @@ def repair_text(text: str, model: Model, group: int, language: int, memo: dict[t
     damaged, used, whole = 0, set(), True
     for i in options:
         if i not in posts:
-            chain, made = options[i][0][0]
-            whole &= "\ufffd" not in made
+            (chain, made), whole = options[i][0][0], whole and options[i][2]
         else:
             k = int(np.argmax(posts[i]))
             chain, made = options[i][0][k]
@@ -388,7 +446,8 @@ def repair_text(text: str, model: Model, group: int, language: int, memo: dict[t
 
 def restore(documents: DataFrame, text: str = "text", source: str = "source", lang: str = "lang", rounds: int = 4) -> DataFrame:
     """Add ``garbled`` (boolean), ``restored`` (text), ``chains`` (array) and
-    ``whole`` (whether everything garbled could be restored).
+    ``whole`` (whether everything garbled could be restored; lost bytes are if
+    one filling clearly wins, otherwise the likeliest is put in).
 
     A text is garbled if one of its words is more likely to come from a wrong
     decoding than to be meant as it stands (by nine to one if it has but one

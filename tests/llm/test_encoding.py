@@ -60,3 +60,27 @@ def test_chains_undo_what_they_do():
             made = harm(made, wrong, real)
         assert encoding.undo(made, chain) == text, chain
     assert encoding.readings("Ù�ÙŠ") == [(encoding.LOST, "في")]
+
+
+def lossy(text):
+    return "".join("�" if b in encoding.UNDEFINED else encoding.letters_of("cp1252")[b] for b in text.encode())
+
+
+def test_lost_bytes_have_every_filling():
+    assert {t for _, t in encoding.readings(lossy("Нужна"))} == {"Ёужна", "Ѝужна", "Џужна", "Аужна", "Нужна"}
+    assert len(encoding.readings(lossy("соляная"))) == 125 and len(encoding.readings(lossy("salt”"))) == 5
+    assert encoding.readings("caf�") == [(encoding.LOST, "caf�")]
+
+
+def test_lost_bytes_are_filled_by_the_model(spark):
+    texts = ["Соляная кислота, моховая тропа", "класс удивился, сколько яблок", "“salt” and “lens” are said", "я с ним"]
+    rows = [(i, texts[i % 4], "s", "en" if i % 4 == 2 else "ru") for i in range(200)]
+    # a long run of letters has too many fillings to list them
+    broken = ["моховая", "удивился,", "“salt”", "Соляная", "с", "удивился" * 12]
+    rows += [(1000 + i, lossy(t), "s", "en" if i == 2 else "ru") for i, t in enumerate(broken)]
+    got = {r.doc_id: r for r in encoding.restore(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()}
+    assert all("�" in rows[200 + i][1] and got[1000 + i].garbled for i in range(6))
+    assert [got[1000 + i].restored for i in range(4)] == broken[:4] and all(got[1000 + i].whole for i in range(4))
+    # "я" and "с" are both words: nothing tells which one was meant
+    assert not got[1004].whole
+    assert "�" not in got[1005].restored and len(got[1005].restored) == 96
