@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -62,35 +63,46 @@ def permute(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def slots_possible(shares: np.ndarray, room: np.ndarray) -> int:
-    """Most slots for which no source should pass its room.
-
-    A shard's draws differ from the shares in what is left after rounding down
-    only, at most one slot a source, so five standard deviations of all shards
-    together are a narrow margin; what passes it all the same isn't placed.
-    """
-
-    def fits(n: int) -> bool:
-        shards = -(-n // SHARD)
-        return bool(np.all(n * shares + 2.5 * np.sqrt(shards * np.minimum(len(shares), SHARD * shares)) * (len(shares) > 1) <= room + 1e-9))
-
-    low, high = 0, int(min(room / shares)) + 1
-    while high - low > 1:
-        mid = (low + high) // 2
-        low, high = (mid, high) if fits(mid) else (low, mid)
-    return low
+    """Most slots for which no source passes its room: room is whole, so a share
+    of the slots that is rounded up still fits."""
+    return int(np.floor(min(room / shares) + 1e-9))
 
 
 def shard_counts(slots: int, shares: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Slots of one shard by source: the whole parts of the expected counts,
-    and a multinomial draw for the rest by the fractional parts."""
+    """Slots by source: the whole parts of the expected counts, and one more
+    for the largest remainders, drawn where they are equal."""
     whole = np.floor(slots * shares + 1e-9).astype(np.int64)
     rest = slots - int(whole.sum())
     if rest > 0:
-        part = np.maximum(slots * shares - whole, 0)
-        whole = whole + rng.multinomial(rest, part / part.sum())
+        part = np.round(slots * shares - whole, 9)
+        whole[np.lexsort((rng.random(len(shares)), -part))[:rest]] += 1
     return whole
 
 
+def counts_before(slot: int, counts: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """How many of a mix's slots before ``slot`` each source has.
+
+    A source's slots are spread evenly over the mix: the m-th of c stands at
+    (m + start) / c between 0 and 1, and all sources' slots follow each other in
+    that order.  So any shard finds its counts alone, they follow the shares,
+    and over all shards they add up to ``counts`` exactly.
+    """
+    size = np.maximum(counts, 1)
+    # at this place there are surely no more than ``slot`` slots; the rest, about two for each source, come one by one
+    at = max(0.0, (slot - len(counts)) / max(1, counts.sum()) - 1e-9)
+    got = np.clip(np.floor(at * counts - start).astype(np.int64) + 1, 0, counts) if at else np.zeros(len(counts), dtype=np.int64)
+    queue = [((m + u) / c, i) for i, (m, u, c) in enumerate(zip(got.tolist(), start.tolist(), size.tolist(), strict=True)) if m < counts[i]]
+    heapq.heapify(queue)
+    for _ in range(slot - int(got.sum())):
+        _, i = queue[0]
+        got[i] += 1
+        if got[i] < counts[i]:
+            heapq.heapreplace(queue, ((got[i] + start[i]) / size[i], i))
+        else:
+            heapq.heappop(queue)
+    return got
+
+
 def mix_sources(documents: DataFrame, targets: DataFrame, doc: str = "doc_id", source: str = "source", tokens: str = "tokens", block: int = BLOCK, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """(pieces, shares) of the mixes in ``targets``.
 
@@ -107,9 +119,9 @@ def mix_sources(documents: DataFrame, targets: DataFrame, doc: str = "doc_id", s
     more than max_repeats times: a block comes once in each of that many
     passes over its source, each in an order of its own.
 
-    Plan: running totals in two levels cut sources into blocks; counts per
-    shard are drawn where the shard is made; a slot's number within its source,
-    again a running total in two levels, goes through the source's permutation
+    Plan: running totals in two levels cut sources into blocks; a mix's counts
+    are fixed once, and each shard finds its own and those before it by itself;
+    a slot's number within its source goes through the source's permutation
     to a block; one join by (source, block) brings the pieces.  The driver sees
     targets and one count per target source.
     """
@@ -125,27 +137,28 @@ def mix_sources(documents: DataFrame, targets: DataFrame, doc: str = "doc_id", s
         shares = group["target_share"].to_numpy(float) / group["target_share"].sum()
         room = (group["blocks"] * group["max_repeats"]).to_numpy(float)
         slots = slots_possible(shares, room)
-        rows.append((mix, slots, [str(s) for s in group["source"]], [float(x) for x in shares], [int(b) for b in group["blocks"]], [int(r) for r in group["max_repeats"]]))
-    mixes = spark.createDataFrame(rows, "mix_name string, slots long, sources array<string>, shares array<double>, blocks array<long>, repeats array<long>")
+        counts = shard_counts(slots, shares, np.random.default_rng([seed, zlib.crc32(mix.encode())]))
+        rows.append((mix, slots, [str(s) for s in group["source"]], [int(c) for c in counts], [int(b) for b in group["blocks"]], [int(r) for r in group["max_repeats"]]))
+    mixes = spark.createDataFrame(rows, "mix_name string, slots long, sources array<string>, counts array<long>, blocks array<long>, repeats array<long>")
     shards = spread(mixes.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / SHARD)))).where("slots > 0"))
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for r in batch.itertuples(index=False):
-                rng = np.random.default_rng([seed, zlib.crc32(r.mix_name.encode()), r.shard])
-                shares = np.asarray(r.shares) / np.sum(r.shares)
-                counts = shard_counts(min(SHARD, r.slots - r.shard * SHARD), shares, rng)
+                counts = np.asarray(r.counts, dtype=np.int64)
+                start = np.random.default_rng([seed, zlib.crc32(r.mix_name.encode()), 1]).random(len(counts))
+                before = counts_before(r.shard * SHARD, counts, start)
+                here = counts_before(min(r.slots, (r.shard + 1) * SHARD), counts, start) - before
                 first = 0
-                for s, c, b, m in zip(r.sources, counts, r.blocks, r.repeats, strict=True):
+                for s, c, n, b, m in zip(r.sources, here, before, r.blocks, r.repeats, strict=True):
                     if c:
-                        out.append((r.mix_name, r.shard, r.shard // 1024, s, int(c), first, int(b), int(m)))
+                        out.append((r.mix_name, r.shard, s, int(c), int(n), first, int(b), int(m)))
                     first += int(c)
-            yield pd.DataFrame(out, columns=["mix_name", "shard", "chunk", "source", "count", "first_slot", "blocks", "repeats"])
+            yield pd.DataFrame(out, columns=["mix_name", "shard", "source", "count", "before", "first_slot", "blocks", "repeats"])
 
-    drawn = cut(shards.mapInPandas(draw, "mix_name string, shard long, chunk long, source string, count long, first_slot long, blocks long, repeats long"))
-    numbered = with_offset(drawn, ["mix_name", "source"], "chunk", ["shard"], "count", "before")
-    slots = numbered.select(
+    drawn = shards.mapInPandas(draw, "mix_name string, shard long, source string, count long, before long, first_slot long, blocks long, repeats long")
+    slots = drawn.select(
         "mix_name", "shard", "source", "blocks", "repeats", "before", "first_slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("i")
     ).select("mix_name", "shard", (F.col("first_slot") + F.col("i")).alias("slot"), "source", "blocks", (F.col("before") + F.col("i")).alias("j"), "repeats").where("j < blocks * repeats")
 

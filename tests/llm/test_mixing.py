@@ -56,3 +56,27 @@ def test_shard_counts_keep_the_shares():
     for slots in (1, 7, 512):
         counts = mixing.shard_counts(slots, shares, rng)
         assert counts.sum() == slots and np.all(np.abs(counts - slots * shares) < 3)
+
+
+def test_a_tiny_source_gives_what_it_has(spark):
+    docs = [(i, "big", 256) for i in range(400)] + [(1000 + i, "mid", 256) for i in range(200)] + [(2000, "tiny", 200)]
+    pieces, shares = mixed(spark, docs, [("m", "big", 0.6, 1), ("m", "mid", 0.39, 1), ("m", "tiny", 0.01, 3), ("n", "tiny", 0.9, 1), ("n", "big", 0.1, 1)])
+    # three uses of one block are a hundredth of 300 slots; one use is nine tenths of one
+    assert shares["m", "tiny"].tokens == 3 * 200 and shares["m", "tiny"].most_turns == 3
+    assert shares["m", "big"].tokens == 180 * 256 and shares["m", "mid"].tokens == 117 * 256
+    assert shares["n", "tiny"].tokens == 200 and shares["n", "big"].tokens == 0
+
+
+def test_shards_add_up_to_the_counts():
+    rng = np.random.default_rng(3)
+    for sources in (1, 3, 40):
+        shares = rng.dirichlet(np.full(sources, 0.5))
+        room = rng.integers(1, 5000, sources).astype(float)
+        slots = mixing.slots_possible(shares, room)
+        counts, start = mixing.shard_counts(slots, shares, rng), rng.random(sources)
+        assert counts.sum() == slots and np.all(counts <= room) and np.all(np.abs(counts - slots * shares) <= 1)
+        edges = [*range(0, slots, mixing.SHARD), slots]
+        before = np.array([mixing.counts_before(e, counts, start) for e in edges])
+        assert list(before.sum(axis=1)) == edges and list(before[-1]) == list(counts)
+        assert np.all(np.diff(before, axis=0) >= 0)
+        assert np.all(np.abs(before - np.outer(edges, counts) / max(1, slots)) < 3)
