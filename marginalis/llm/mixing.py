@@ -65,7 +65,10 @@ def permute(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
 def slots_possible(shares: np.ndarray, room: np.ndarray) -> int:
     """Most slots for which no source passes its room: room is whole, so a share
     of the slots that is rounded up still fits."""
-    return int(np.floor(min(room / shares) + 1e-9))
+    slots = int(np.floor(min(room / shares) + 1e-9))
+    while np.any(np.ceil(slots * shares - 1e-9) > room):
+        slots -= 1
+    return slots
 
 
 def shard_counts(slots: int, shares: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -107,15 +110,16 @@ def mix_sources(documents: DataFrame, targets: DataFrame, doc: str = "doc_id", s
     """(pieces, shares) of the mixes in ``targets``.
 
     pieces: (mix_name, shard, slot, source, block, turn, doc, first, last), the
-    token ranges of each slot of each output shard; turn counts the uses of the
-    block before.  shares: (mix_name, source, target_share, wanted_share,
+    token ranges of each slot of each output shard; no slot is left out; turn
+    counts the uses of the block before.  shares: (mix_name, source, target_share, wanted_share,
     tokens, actual_share, most_turns, max_repeats), one row per target.
 
     ``targets`` has mix_name, source, target_share, max_repeats.  A mix is as
     large as its scarcest source allows; sources that are absent get nothing,
     and the others' shares are scaled up to wanted_share.  Sources without a
     target, or null, aren't used; targets without a positive share or repeats
-    ask for nothing.  Repeated target rows count once.  No document is used
+    ask for nothing.  Repeated target rows count once; different ones of one
+    source ask for their sum, within the smallest max_repeats.  No document is used
     more than max_repeats times: a block comes once in each of that many
     passes over its source, each in an order of its own.
 
@@ -133,13 +137,14 @@ def mix_sources(documents: DataFrame, targets: DataFrame, doc: str = "doc_id", s
     if len(plan) > 10_000:
         raise ValueError("more than 10000 targets")
     rows = []
-    for mix, group in plan.dropna(subset=["blocks"]).sort_values(["mix_name", "source"]).groupby("mix_name"):
+    named = plan.dropna(subset=["blocks"]).groupby(["mix_name", "source"], as_index=False).agg({"target_share": "sum", "max_repeats": "min", "blocks": "first"})
+    for mix, group in named.groupby("mix_name"):
         shares = group["target_share"].to_numpy(float) / group["target_share"].sum()
         room = (group["blocks"] * group["max_repeats"]).to_numpy(float)
         slots = slots_possible(shares, room)
         counts = shard_counts(slots, shares, np.random.default_rng([seed, zlib.crc32(mix.encode())]))
-        rows.append((mix, slots, [str(s) for s in group["source"]], [int(c) for c in counts], [int(b) for b in group["blocks"]], [int(r) for r in group["max_repeats"]]))
-    mixes = spark.createDataFrame(rows, "mix_name string, slots long, sources array<string>, counts array<long>, blocks array<long>, repeats array<long>")
+        rows.append((mix, slots, [str(s) for s in group["source"]], [int(c) for c in counts], [int(b) for b in group["blocks"]]))
+    mixes = spark.createDataFrame(rows, "mix_name string, slots long, sources array<string>, counts array<long>, blocks array<long>")
     shards = spread(mixes.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / SHARD)))).where("slots > 0"))
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,16 +156,16 @@ def mix_sources(documents: DataFrame, targets: DataFrame, doc: str = "doc_id", s
                 before = counts_before(r.shard * SHARD, counts, start)
                 here = counts_before(min(r.slots, (r.shard + 1) * SHARD), counts, start) - before
                 first = 0
-                for s, c, n, b, m in zip(r.sources, here, before, r.blocks, r.repeats, strict=True):
+                for s, c, n, b in zip(r.sources, here, before, r.blocks, strict=True):
                     if c:
-                        out.append((r.mix_name, r.shard, s, int(c), int(n), first, int(b), int(m)))
+                        out.append((r.mix_name, r.shard, s, int(c), int(n), first, int(b)))
                     first += int(c)
-            yield pd.DataFrame(out, columns=["mix_name", "shard", "source", "count", "before", "first_slot", "blocks", "repeats"])
+            yield pd.DataFrame(out, columns=["mix_name", "shard", "source", "count", "before", "first_slot", "blocks"])
 
-    drawn = shards.mapInPandas(draw, "mix_name string, shard long, source string, count long, before long, first_slot long, blocks long, repeats long")
+    drawn = shards.mapInPandas(draw, "mix_name string, shard long, source string, count long, before long, first_slot long, blocks long")
     slots = drawn.select(
-        "mix_name", "shard", "source", "blocks", "repeats", "before", "first_slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("i")
-    ).select("mix_name", "shard", (F.col("first_slot") + F.col("i")).alias("slot"), "source", "blocks", (F.col("before") + F.col("i")).alias("j"), "repeats").where("j < blocks * repeats")
+        "mix_name", "shard", "source", "blocks", "before", "first_slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("i")
+    ).select("mix_name", "shard", (F.col("first_slot") + F.col("i")).alias("slot"), "source", "blocks", (F.col("before") + F.col("i")).alias("j"))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -80,3 +80,23 @@ def test_shards_add_up_to_the_counts():
         assert list(before.sum(axis=1)) == edges and list(before[-1]) == list(counts)
         assert np.all(np.diff(before, axis=0) >= 0)
         assert np.all(np.abs(before - np.outer(edges, counts) / max(1, slots)) < 3)
+
+
+def test_no_slot_is_left_out(spark):
+    docs = [(i, f"s{i % 13}", 256) for i in range(2600)]
+    targets = [("m", f"s{i}", 1 / 13, 2) for i in range(13)]
+    for seed in range(3):
+        pieces, shares = mixed(spark, docs, targets, seed=seed)
+        slots = {(p.shard, p.slot) for p in pieces}
+        assert slots == {(j // mixing.SHARD, j % mixing.SHARD) for j in range(2 * 2600)}
+        assert all(r.tokens == 2 * 200 * 256 for r in shares.values())
+
+
+def test_two_targets_of_one_source(spark):
+    docs = [(i, "a", 256) for i in range(90)] + [(1000 + i, "b", 256) for i in range(200)]
+    pieces, shares = mixed(spark, docs, [("m", "a", 0.3, 1), ("m", "a", 0.3, 2), ("m", "b", 0.4, 1)])
+    uses = {}
+    for p in pieces:
+        uses[p.source, p.doc_id] = uses.get((p.source, p.doc_id), 0) + 1
+    assert len(pieces) == len({(p.shard, p.slot) for p in pieces}) == 150
+    assert set(uses.values()) == {1} and sum(k[0] == "a" for k in uses) == 90 and sum(k[0] == "b" for k in uses) == 60
