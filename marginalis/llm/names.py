@@ -330,13 +330,14 @@ def edit_keys(text: str) -> set[str]:
     return keys
 
 
-#: Spellings that a mistyped profile has at most; one with more is a name of its own.
-MISTYPED = 2
+#: A profile of more spellings than MISTYPED is mistyped only if another has at
+#: least so many times its spellings and its rows; else it is a name of its own.
+MISTYPED, TIMES_SPELLINGS, TIMES_ROWS = 2, 2, 20
 
 
 def blocking_rows(cid: str, forms: list[str], middle: list[str], hints: list[str], spellings: int, count: int) -> Iterator[tuple]:
     """(cid, role, kind, key, text, spellings, count): what a profile offers
-    (role o) and seeks (role s)."""
+    (role o) and seeks (role s, or h for a hint with a typing error)."""
     row = lambda role, kind, key, text="": (cid, role, kind, key, text, spellings, count)
     offered, sought = set(), set()
     known = "".join(sorted(set(middle)))
@@ -356,16 +357,15 @@ def blocking_rows(cid: str, forms: list[str], middle: list[str], hints: list[str
                 offered.add(row("o", "acr", "".join(w[0] for w in parts)))
                 offered.add(row("o", "short", " ".join(parts[:-1])))
             sought.add(row("s", "short", f))
-        if spellings <= MISTYPED:
-            for key in edit_keys(f):
-                sought.add(row("s", "typo", key, f))
+        for key in edit_keys(f):
+            sought.add(row("s", "typo", key, f))
     if not forms:
         for h in hints:
             kind, key = h.split(" ", 1)
             sought.add(row("s", kind, key, known))
             if kind == "nick":
                 for part in edit_keys(key):
-                    sought.add(row("s", "typo", part, key))
+                    sought.add(row("h", "typo", part, key))
     yield from offered
     yield from sought
 
@@ -409,8 +409,9 @@ def link_names(names: DataFrame) -> DataFrame:
     are one.  Initials, handles, acronyms, shortened organisations and short
     forms of several names join the one entity that offers what they say; with
     two or more such entities they stay alone.  A spelling with one typing
-    error joins the one better attested entity within one edit; a spelling that
-    itself occurs in more than MISTYPED ways is a name of its own.  Names of
+    error joins the one better attested entity within one edit; if it itself
+    occurs in more than MISTYPED ways, only one that is attested many times as
+    well, or else it is a name of its own.  Names of
     any length are read whole.  An empty table gives an empty one.
 
     Plan: everything is keyed by what profiles offer and seek, so a round is
@@ -432,11 +433,13 @@ def link_names(names: DataFrame) -> DataFrame:
             F.sum("count").alias("count"),
         )
         blocks = cut(profiles.mapInPandas(_blocks, _BLOCKS))
-        side = lambda role, s: blocks.where(F.col("role") == role).select("kind", "key", *[F.col(c).alias(c + s) for c in ("cid", "text", "spellings", "count")])
-        a, b = side("s", "_a"), side("o", "_b")
+        side = lambda roles, s: blocks.where(F.col("role").isin(*roles)).select("kind", "key", *[F.col(c).alias(c + s) for c in ("role", "cid", "text", "spellings", "count")])
+        a, b = side("sh", "_a"), side("o", "_b")
         stronger = F.struct("spellings_b", "count_b", "cid_b") > F.struct("spellings_a", "count_a", "cid_a")
+        # hints seek by their one meaning, whatever their spellings
+        rare = (F.col("spellings_a") <= MISTYPED) | (F.col("spellings_b") >= TIMES_SPELLINGS * F.col("spellings_a")) & (F.col("count_b") >= TIMES_ROWS * F.col("count_a"))
         fits = (
-            F.when(F.col("kind") == "typo", stronger & _one_edit("text_a", "text_b"))
+            F.when(F.col("kind") == "typo", stronger & (rare | (F.col("role_a") == "h")) & _one_edit("text_a", "text_b"))
             .when(F.col("kind") == "ini", (F.col("text_a") == "") | (F.col("text_b") == "") | F.col("text_b").contains(F.col("text_a")))
             .otherwise(True)
         )

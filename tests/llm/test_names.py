@@ -30,6 +30,14 @@ def test_a_name_in_many_spellings_is_no_typing_error(spark):
     assert linked(spark, [(n, 5) for n in base + twin]) == sorted(map(sorted, (base, twin)))
 
 
+def test_a_rare_typing_error_in_many_spellings(spark):
+    base = ["Hussein Shadodek", "HUSSEIN SHADODEK", "Shadodek, Hussein", "hussein.shadodek", "Dr Hussein Shadodek", "Hussein_Shadodek"]
+    typed = ["Hussein Shadoddek", "Shadoddek, Hussein", "hussein.shadoddek"]
+    assert linked(spark, [(n, 50) for n in base] + [(n, 2) for n in typed]) == [sorted(base + typed)]
+    # as well attested as the other, or nearly, it stays a name of its own
+    assert linked(spark, [(n, 50) for n in base] + [(n, 20) for n in typed]) == sorted(map(sorted, (base, typed)))
+
+
 def test_merged_profiles_match_again(spark):
     # the middle initial comes from one spelling, the surname's case from another; only both together fit
     rows = [("Rebecca Listozade", 4), ("Rebecca R. Listozade", 1), ("Becky Listozade", 1), ("R.R. Listozade", 1), ("Rebeca Listozade", 1)]
