@@ -44,8 +44,8 @@ def match_output(desired: DataFrame, stored: DataFrame) -> DataFrame:
 
     By comment id first.  Desired rows left over match by (page, comment),
     white space evened out, if exactly one stored row that no id has claimed
-    has that key; the first desired row in ``ord`` takes it, further ones are
-    appended.  Adds match (ID, KEY, NONE or AMBIGUOUS, for several stored
+    has that key; the first desired row in ``ord``, comment id and reviewer takes
+    it, further ones are appended.  Adds match (ID, KEY, NONE or AMBIGUOUS, for several stored
     candidates) and stored_id, the stored row's ``row_no``.
     """
     key = F.concat_ws("\x1f", S.collapse(F.col("page")), S.collapse(F.col("comment")))
@@ -57,7 +57,7 @@ def match_output(desired: DataFrame, stored: DataFrame) -> DataFrame:
     free = s.join(claimed, "row_no", "left_anti").groupBy("_skey").agg(F.min("row_no").alias("_free"), F.count("*").alias("_n"))
     rest = first.join(free, F.col("_key") == F.col("_skey"), "left")
     open_ = F.col("_row").isNull() & F.col("_free").isNotNull()
-    turn = F.row_number().over(Window.partitionBy(F.when(open_, F.col("_key")).otherwise(F.concat(F.lit("\x1e"), F.col("comment_id")))).orderBy("ord", "comment_id"))
+    turn = F.row_number().over(Window.partitionBy(F.when(open_, F.col("_key")).otherwise(F.concat(F.lit("\x1e"), F.col("comment_id")))).orderBy("ord", "comment_id", *[c for c in desired.columns if c == "reviewer"]))
     matched = rest.withColumn("_turn", turn)
     return matched.select(
         *desired.columns,

@@ -425,6 +425,20 @@ def q19_field_merge(spark: SparkSession, d: str) -> DataFrame:
     return merged.where("match = 'ID'").select("comment_id", "author", "match", "stored_id", "category", "resolved", "replies", "annotation_type").distinct()
 
 
+# The same rules with every row told apart: rows of several reviewers may share ord and comment_id.
+_MATCH_ROWS = _MATCH.replace("order by ord, comment_id) as turn", "order by ord, comment_id, reviewer) as turn")
+
+
+@query(
+    f"""with {_MATCH_ROWS} select mt.pdf_name, mt.pdf_drive_link, mt.page, mt.comment, coalesce(st.category, '') as category, mt.reviewer as author, mt.created_date, mt.last_modified, case when st.row_no is null then '' else 'Yes' end as resolved,
+ case when st.row_no is null then '' else 'seen' end as replies, mt.comment_id, coalesce(nullif(trim(mt.annotation_type), ''), case when st.row_no is null then '' else 'Note' end) as annotation_type, match, mt.stored_id
+from mt left join st on st.row_no = mt.stored_id"""
+)
+def q19_merged_rows(spark: SparkSession, d: str) -> DataFrame:
+    stored = _stored_output(spark, d)
+    return output.merge_fields(output.match_output(_visible(spark, d), stored), stored).select(*output.VISIBLE, "match", "stored_id")
+
+
 _ISSUES = """iss as (select source_file, array_to_string(list_filter([case when coalesce(trim(reviewer), '') = '' then 'REVIEWER_UNRESOLVED' end, case when coalesce(trim(book_page), '') = '' then 'PAGE_UNRESOLVED' end,
  case when trim(footer_status) = 'footer_mismatch' then 'PAGE_NUMBER_MISMATCH' end], lambda x: x is not null), '; ') as issue_type, coalesce(raw_author, '') as raw_author, pdf_page,
  coalesce(nullif(trim(book_page), ''), footer_page_candidate, '') as book_page_candidate, coalesce(comment, '') as comment

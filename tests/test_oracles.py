@@ -30,3 +30,10 @@ def test_normalize_text_by_brute_force(spark):
     for doc, text in rows:
         made = unicodedata.normalize("NFKC", text or "").translate({0x200A: " ", 0x200E: " ", 0x200F: " "})
         assert got[doc] == re.sub(r"[ \t-\r\x85\xa0  -     　]+", " ", made).strip(" ")
+
+
+def test_merged_rows_of_every_match(spark):
+    merged = entry.queries()["q19_merged_rows"](spark, SMALL)
+    counted = {r["match"]: r["n"] for r in entry.queries()["q18_output_upsert"](spark, SMALL).collect()}
+    assert {r["match"]: r["count"] for r in merged.groupBy("match").count().collect()} == counted and len(counted) > 1
+    assert merged.select("author", "comment_id").distinct().count() == merged.count()
