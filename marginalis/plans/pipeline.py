@@ -97,6 +97,8 @@ def execute(store: Store, version: Version, rows: DataFrame, aliases: dict[str,
     """Commit one extracted version: approvals first, then the guard for known
     versions, then all tables in one commit.  Every check runs before it."""
     spark = rows.sparkSession
+    if not version.pdf_sha256:
+        raise ValueError("rows without a content hash belong to no version")
     stored_rules, stored_review = store.read("rules"), store.read("review")
     fresh = cut(review.promote_rules(stored_review, stored_rules))
     promoted = fresh.count()

@@ -8,6 +8,7 @@ its versions known and writes nothing.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.pipeline import Version, process_versions
@@ -17,15 +18,18 @@ from ..sources.store import Store
 
 def ingest(batch: DataFrame, store: Store, document_key: str, processed_at: str, aliases: dict[str, str] | None = None) -> list[dict]:
     """Run the pipeline over one batch of extracted rows, one version per
-    content hash.  The hashes of a batch are listed on the driver: one per file
+    content hash.  Rows without one can't be taken: each of their source files
+    is logged as an error.  The hashes of a batch are listed on the driver: one per file
     that arrived, which the source's maxFilesPerTrigger bounds."""
     rows = batch.persist()
     try:
-        heads = rows.groupBy("source_sha256").agg({"source_file": "min", "modified": "max"}).collect()
+        sha = F.coalesce("source_sha256", F.lit(""))
+        # files are told apart where no hash does
+        file = F.when(sha == "", F.coalesce("source_file", F.lit("")))
+        heads = rows.groupBy(sha.alias("sha"), file.alias("file")).agg(F.min("source_file").alias("name"), F.max("modified").alias("modified")).collect()
         versions = [
-            (Version(document_key, h["source_sha256"], pdf_name=h["min(source_file)"] or "", modified_time=h["max(modified)"] or "", processed_at=processed_at), rows.where(rows["source_sha256"] == h["source_sha256"]))
+            (Version(document_key, h["sha"], pdf_name=h["name"] or "", modified_time=h["modified"] or "", processed_at=processed_at), rows.where((sha == h["sha"]) & file.eqNullSafe(h["file"])))
             for h in heads
-            if h["source_sha256"]
         ]
         return process_versions(store, versions, aliases=aliases)
     finally:

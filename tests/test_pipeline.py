@@ -123,3 +123,15 @@ def test_records(spark, tmp_path):
         records.document_key({}, {})
     records.write_outputs(spark.createDataFrame([("1", "2")], "a string, b string"), str(tmp_path / "out"), ["b"])
     assert spark.read.option("header", "true").csv(str(tmp_path / "out/annotations_csv")).columns == ["b"]
+
+
+def test_rows_without_a_hash_are_logged(spark, tmp_path):
+    from marginalis.streaming.incremental import ingest
+
+    store = Store(spark, str(tmp_path / "store"))
+    lost = rows(spark, [("B", "x", "1", None)], None).unionByName(rows(spark, [("C", "x", "1", None)], "").withColumn("source_file", F.lit("g.pdf")))
+    batch = rows(spark, [("A", "x", "1", None)]).unionByName(lost)
+    done = ingest(batch, store, "BOOK", "2024-02-01T00:00:00Z")
+    assert sorted((d["file"], d["action"]) for d in done) == [("f.pdf", "ERROR"), ("f.pdf", "PROCESSED"), ("g.pdf", "ERROR")]
+    assert sorted(r.status for r in store.read("files").collect()) == ["ERROR", "ERROR", "PROCESSED"]
+    assert [r.entry_id for r in store.read("entries").collect()] == ["A"]
