@@ -429,6 +429,11 @@ def q19_field_merge(spark: SparkSession, d: str) -> DataFrame:
 _MATCH_ROWS = _MATCH.replace("order by ord, comment_id) as turn", "order by ord, comment_id, reviewer) as turn")
 
 
+@query(f"with {_MATCH_ROWS} select reviewer, comment_id, match, stored_id from mt")
+def q18_output_rows(spark: SparkSession, d: str) -> DataFrame:
+    return output.match_output(_visible(spark, d), _stored_output(spark, d)).select("reviewer", "comment_id", "match", "stored_id")
+
+
 @query(
     f"""with {_MATCH_ROWS} select mt.pdf_name, mt.pdf_drive_link, mt.page, mt.comment, coalesce(st.category, '') as category, mt.reviewer as author, mt.created_date, mt.last_modified, case when st.row_no is null then '' else 'Yes' end as resolved,
  case when st.row_no is null then '' else 'seen' end as replies, mt.comment_id, coalesce(nullif(trim(mt.annotation_type), ''), case when st.row_no is null then '' else 'Note' end) as annotation_type, match, mt.stored_id

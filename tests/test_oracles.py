@@ -37,3 +37,9 @@ def test_merged_rows_of_every_match(spark):
     counted = {r["match"]: r["n"] for r in entry.queries()["q18_output_upsert"](spark, SMALL).collect()}
     assert {r["match"]: r["count"] for r in merged.groupBy("match").count().collect()} == counted and len(counted) > 1
     assert merged.select("author", "comment_id").distinct().count() == merged.count()
+
+
+def test_output_rows_of_every_match(spark):
+    rows = entry.queries()["q18_output_rows"](spark, SMALL).collect()
+    assert len({(r.reviewer, r.comment_id) for r in rows}) == len(rows) and {r["match"] for r in rows} > {"ID"}
+    assert all((r.stored_id is None) == (r["match"] in ("NONE", "AMBIGUOUS")) for r in rows)
