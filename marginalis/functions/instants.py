@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 # English month names, by their first three letters.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
+# How the names of months and weekdays go on after three letters.
+MONTH_NAMES = "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+DAY_NAMES = "mon(?:day)?|tue(?:s(?:day)?)?|wed(?:nesday)?|thu(?:rs?(?:day)?)?|fri(?:day)?|sat(?:urday)?|sun(?:day)?"
+
 #: The one form that needs no normalising.
 CANONICAL = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}Z$"
 
@@ -45,7 +49,8 @@ def _build() -> tuple[str, str]:
     zone = lambda: rf"(?:\s*\[?{g('zn', region)}\]?)?"
     ampm = lambda: rf"\s*{g('ap', r'[AaPp]\.?[Mm]\.?(?![A-Za-z])')}"
     clock = lambda: rf"{g('h', r'\d{1,2}')}:{g('mi', r'\d\d')}(?::{g('s', r'\d\d')}{frac()})?(?:{ampm()})?"
-    month = lambda: g("mo", "(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*")
+    month = lambda: g("mo", MONTH_NAMES)
+    day_name = rf"(?:(?:{DAY_NAMES})\.?,?\s+)?"
     abbr = lambda: rf"(?:{offset()}|\s*{g('ab', '[A-Z]{1,5}')})"
     # date and time with separators, year first; also the basic form without them
     iso = rf"{g('y', r'\d{4}')}-{g('mo', r'\d\d')}-{g('d', r'\d\d')}(?:[Tt\s]\s*{clock()}{offset()}{zone()})?"
@@ -59,8 +64,8 @@ def _build() -> tuple[str, str]:
     # all digits, order of the parts by desk
     digits = rf"{g('p1', r'\d{1,4}')}[/.]{g('p2', r'\d{1,2}')}[/.]{g('p3', r'\d{1,4}')}(?:,?\s+{clock()}{abbr()}{zone()})?"
     # [Day,] 19 Apr 2025 10:35:01 +0545 or EEST
-    day_first = rf"(?:[A-Za-z]{{3,9}},?\s+)?{g('d', r'\d{1,2}')}[\s-]{month()}\.?,?[\s-]{g('y', r'\d{4}')}(?:,?\s+{clock()}{abbr()}{zone()})?"
-    month_first = rf"(?:[A-Za-z]{{3,9}},?\s+)?{month()}\.?\s+{g('d', r'\d{1,2}')},?\s+{g('y', r'\d{4}')}(?:,?\s+{clock()}{abbr()}{zone()})?"
+    day_first = rf"{day_name}{g('d', r'\d{1,2}')}[\s-]{month()}\.?,?[\s-]{g('y', r'\d{4}')}(?:,?\s+{clock()}{abbr()}{zone()})?"
+    month_first = rf"{day_name}{month()}\.?\s+{g('d', r'\d{1,2}')},?\s+{g('y', r'\d{4}')}(?:,?\s+{clock()}{abbr()}{zone()})?"
     epoch = rf"{g('ep', r'\d{9,10}|\d{12,13}|\d{15,16}|\d{18,19}')}"
     pattern = r"^\s*(?i:" + "|".join((iso, iso_abbr, basic, basic_day, pdf, digits, day_first, month_first, epoch)) + r")\s*$"
     made = "\x01" + "\x1f".join("".join("${" + n + "}" for n in _Format.groups[p]) for p in PARTS)
@@ -83,7 +88,7 @@ def components(value: Column) -> Column:
     """Array of the text components in the order of PARTS; null if no format fits."""
     folded = F.regexp_replace(F.translate(value, *DIGITS), r"[\u00a0\u2007\u202f\u2009\u200e\u200f]", " ")
     made = F.regexp_replace(folded, F.lit(PATTERN), F.lit(TEMPLATE))
-    return F.when(made.startswith("\x01"), F.split(F.substring(made, 2, 4000), "\x1f", -1))
+    return F.when(made.startswith("\x01"), F.split(F.substr(made, F.lit(2)), "\x1f", -1))
 
 
 def epoch_day(y: Column, m: Column, d: Column) -> Column:

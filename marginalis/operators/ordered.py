@@ -1,10 +1,11 @@
-"""Neighbours in an ordered sequence per key, safe for keys of any size.
-
-A plain ``lag``/``lead`` sorts all rows of one key in one task.  For keys that
-hold a large share of the rows (found with a bounded sketch) the sequence is
-cut into blocks of the order column: neighbours are taken within each block,
-and only one summary row per block goes through the window over the key.
-Both routes give the same rows.
+"""Ordered sequences per key, safe for keys of any size.
+
+A plain window sorts all rows of one key in one task.  Here rows are sorted
+over the whole cluster by key and order and cut into blocks of about equal
+size, wherever the cuts fall: a key with a third of all rows lies in a third
+of the blocks.  Windows run within (key, block), and one summary row per
+(key, block) goes through a window over the key, of which no key has more than
+there are blocks.  Every key takes this way, whatever its size.
 """
 
 from __future__ import annotations
@@ -12,44 +13,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import hot_keys
+from ..session import cut
+
 
-#: Width of a block of the order column, in its own unit (microseconds): a day.
-BLOCK = 86_400_000_000
+def in_blocks(df: DataFrame, keys: list[str], order: list[str], blocks: int | None = None) -> DataFrame:
+    """``df`` with ``_block``, the number of the row's block in the order of
+    ``keys`` and ``order``, which together tell rows apart.
 
+    ``blocks`` is the most there are, Spark's number of shuffle partitions if
+    None.  Written to the checkpoint folder: cuts come from a sample, and a
+    block must hold the same rows however often it is read.
+    """
+    columns = [*keys, *order]
+    ranged = df.repartitionByRange(blocks, *columns) if blocks else df.repartitionByRange(*columns)
+    return cut(ranged.withColumn("_block", F.spark_partition_id()))
 
-def neighbour(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    value: Column,
-    out: str,
-    step: int,
-    hot: list | None = None,
-    block: int = BLOCK,
-) -> DataFrame:
-    """Add ``out``: ``value`` of the row before (step -1) or after (step 1).
 
-    ``order`` must be a total order within ``key``; its first column is a
-    bigint that is cut into blocks for the keys in ``hot``.  With ``hot`` None
-    the keys are looked up.  Rows without a neighbour get null.
+def of_several_blocks(summaries: DataFrame, keys: list[str], carried: dict[str, Column]) -> DataFrame:
+    """The summaries (one per key and block) of keys that lie in several
+    blocks, with the columns ``carried``.
+
+    A cut divides one key at most, so these are no more than two rows per
+    block: a bound that allows to broadcast them.
     """
-    take = F.lag if step < 0 else F.lead
-    if hot is None:
-        hot = hot_keys(df, key)
-    if not hot:
-        return df.withColumn(out, take(value).over(Window.partitionBy(key).orderBy(*order)))
-    marked = df.withColumn("_v", F.struct(value.alias("v"))).withColumn(
-        "_b", F.when(F.col(key).isin(hot), F.floor(F.col(order[0]) / block))
-    )
-    near = marked.withColumn("_n", take("_v").over(Window.partitionBy(key, "_b").orderBy(*order)))
-    edge = F.max_by("_v", F.struct(*order)) if step < 0 else F.min_by("_v", F.struct(*order))
-    ends = (
-        marked.where(F.col("_b").isNotNull())
-        .groupBy(key, "_b")
-        .agg(edge.alias("_e"))
-        .withColumn("_far", take("_e").over(Window.partitionBy(key).orderBy("_b")))
-        .select(F.col(key).alias("_k"), F.col("_b").alias("_kb"), "_far")
+    number = F.count("*").over(Window.partitionBy(*keys))
+    return F.broadcast(summaries.withColumns(carried).withColumn("_blocks", number).where("_blocks > 1").select(*keys, "_block", *carried))
+
+
+def neighbours(blocked: DataFrame, keys: list[str], order: list[str], values: dict[str, tuple[Column, int]]) -> DataFrame:
+    """Add columns to the result of ``in_blocks``: name to (value, step), the
+    value of the row before (-1) or after (1) in its key; null without one."""
+    near, far = Window.partitionBy(*keys, "_block").orderBy(*order), Window.partitionBy(*keys).orderBy("_block")
+    take = {-1: F.lag, 1: F.lead}
+    edge = {-1: F.max_by, 1: F.min_by}
+    boxed = blocked.withColumns({f"_v{n}": F.struct(v.alias("v")) for n, (v, _) in values.items()})
+    ends = boxed.groupBy(*keys, "_block").agg(*[edge[step](f"_v{n}", F.struct(*order)).alias(f"_e{n}") for n, (_, step) in values.items()])
+    beyond = of_several_blocks(ends, keys, {f"_far{n}": take[step](f"_e{n}").over(far) for n, (_, step) in values.items()})
+    return (
+        boxed.withColumns({f"_near{n}": take[step](f"_v{n}").over(near) for n, (_, step) in values.items()})
+        .join(beyond, [*keys, "_block"], "left")
+        .select(*[c for c in blocked.columns if c != "_block"], *[F.coalesce(f"_near{n}", f"_far{n}")["v"].alias(n) for n in values])
     )
-    joined = near.join(ends, (near[key] == F.col("_k")) & (near["_b"] == F.col("_kb")), "left")
-    return joined.withColumn(out, F.coalesce("_n", "_far")["v"]).drop("_v", "_b", "_n", "_k", "_kb", "_far")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut, digest, hot_keys
-from .ordered import neighbour
+from ..session import cut, digest
+from .ordered import in_blocks, neighbours
 
 
 def same_id(col: Column) -> Column:
@@ -31,11 +31,8 @@ def snapshot_order(versions: DataFrame, series: str, snapshot: str, time: Column
     one = rows.groupBy("skey").agg(
         F.min(F.struct("us", "snapshot", "series")).alias("m")
     ).select("skey", "m.us", "m.snapshot", "m.series")
-    one = cut(one)
-    hot = hot_keys(one, "series")
-    ahead = neighbour(one, "series", ["us", "skey"], F.col("skey"), "next", 1, hot)
-    both = neighbour(ahead, "series", ["us", "skey"], F.lit(True), "has_before", -1, hot)
-    return cut(both)
+    placed = in_blocks(one, ["series"], ["us", "skey"])
+    return cut(neighbours(placed, ["series"], ["us", "skey"], {"next": (F.col("skey"), 1), "has_before": (F.lit(True), -1)}))
 
 
 def except_all_both_ways(rows: DataFrame, keys: list[str], value: str) -> DataFrame:

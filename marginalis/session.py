@@ -1,4 +1,4 @@
-"""Session helpers: table paths, lineage cuts, hot keys."""
+"""Session helpers: table paths, lineage cuts, spreading of few rows."""
 
 from __future__ import annotations
 
@@ -16,7 +16,9 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` and cut its lineage with a reliable checkpoint.
 
     The folder is the cluster's ``spark.checkpoint.dir``; only where that is
-    unset (tests, local mode) a temporary one is used.
+    unset (tests, local mode) a temporary one is used.  Spark removes a
+    checkpoint when its table is no longer referenced, if the session was
+    started with ``spark.cleaner.referenceTracking.cleanCheckpoints``.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
@@ -36,22 +38,15 @@ def digest(*cols) -> "F.Column":
     return F.unhex(F.md5(parts[0] if len(parts) == 1 else F.concat_ws("\x1f", *parts)))
 
 
-def hot_keys(df: DataFrame, key: str, support: float = 0.02) -> list:
-    """Every value of ``key`` on more than ``support`` of the rows.
-
-    The frequent-items sketch keeps at most 1/support counters and misses no
-    value above the support, so the list has a fixed bound whatever the input.
-    Callers use it only to choose between plans that give the same rows.
-    """
-    row = df.stat.freqItems([key], support).first()
-    return [] if row is None else [x for x in row[0] if x is not None]
-
-
 def spread(df: DataFrame) -> DataFrame:
     """``df`` in at least as many partitions as there are cores.
 
-    For steps that compute long on few rows: adaptive execution would leave
-    them in one partition.  Inputs with more partitions stay as they are.
+    For steps that compute long on few rows of a file.  The scan alone tells
+    the number of its partitions; a plan with a shuffle isn't run to learn it,
+    and stays as it is, as inputs with more partitions do.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" or plan.execute().getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

@@ -47,8 +47,11 @@ CASES = [
     ("NYC", "2024-03-10T02:30:00", us("2024-03-10T07:30:00+00:00")),
     ("LHI", "2024-10-06 02:10", us("2024-10-05T15:40:00+00:00")),
     ("LHI", "2024-04-07 01:45", us("2024-04-06T14:45:00+00:00")),
+    ("BEY", "Saturday, 19 April 2025 10:35:01 +0545", us("2025-04-19T04:50:01+00:00")), ("NYC", "Sept 3, 2024 1:01 AM", us("2024-09-03T05:01:00+00:00")),
+    # parts of any length are read whole
+    ("BEY", "2024-07-01 12:00:00" + " " * 5000 + "+03:00", us("2024-07-01T09:00:00+00:00")), ("BEY", "2024-07-01 12:00:00 " + "A" * 5000 + "/B", None),
     # no case
-    ("BEY", "2025-08-16T23:14:56.900853Z", None), ("BEY", "2025-13-02T08:00:00Z", None), ("BEY", "0000-00-00 00:00", None), ("BEY", "D:20241345996100", None), ("BEY", "D:", None),
+    ("BEY", "Mayhem 3, 2024 10:00 AM", None), ("BEY", "3 Marzipan 2024 10:00", None), ("BEY", "Nonday, 3 May 2024 10:00", None), ("BEY", "2025-08-16T23:14:56.900853Z", None), ("BEY", "2025-13-02T08:00:00Z", None), ("BEY", "0000-00-00 00:00", None), ("BEY", "D:20241345996100", None), ("BEY", "D:", None),
     ("BEY", "2023-02-29", None), ("BEY", "1900-02-29", None), ("BEY", "2024-01-01T24:00:00", None), ("BEY", "13/13/2024 08:00", None), ("NYC", "01/01/2024 13:00:00 PM", None), ("BEY", "2024-01-01 10:00:00 XYZ", None),
     ("BEY", "2024-01-01 10:00:00 No/Where", None), ("ODD", "2024-01-01 10:00", None), (None, "2024-01-01 10:00", None), ("BEY", None, None), ("BEY", "", None), ("BEY", "  ", None), ("BEY", "today", None), ("BEY", "x" * 100_000, None),
 ]

@@ -29,10 +29,42 @@ def test_nulls_ties_and_empty(spark):
     assert periods(spark, [("x", "1", "p", 5, "REMOVED")]) == []
 
 
-def test_hot_entity_in_blocks_of_time(spark):
+def naive(events):
+    """Periods by the definition, one event after the other."""
+    states = {}
+    for k, a, b, us, kind in events:
+        if us is not None:
+            states.setdefault(k, {}).setdefault(us, set()).add(None if kind == "REMOVED" else (a, b))
+    out = []
+    for k, at in states.items():
+        begun, current = None, None
+        for us in sorted(at):
+            (state,) = at[us]
+            if state != current:
+                if current is not None:
+                    out.append((k, begun, us, *current))
+                begun, current = us, state
+        if current is not None:
+            out.append((k, begun, -1, *current))
+    return sorted(out)
+
+
+def test_any_entity_over_any_blocks(spark):
     r = random.Random(7)
-    events = [("hot" if i % 3 else f"k{i % 40}", str(r.randint(0, 2)), "p", r.randint(0, 300), r.choice(["NEW", "UPDATED", "REMOVED"])) for i in range(600)]
-    from marginalis.session import digest
+    # one entity with two thirds of all events, long runs of one state, and many of a single event
+    at = {}
+    for i in range(900):
+        k, us = ("hot" if i % 3 else f"k{i % 40}"), r.randint(0, 2000)
+        at.setdefault((k, us), ("1" if us < 900 and r.random() < 0.97 else str(r.randint(0, 2)), r.choice(["NEW", "UPDATED", "UPDATED", "REMOVED"] if us > 700 else ["UPDATED"])))
+    events = [(k, a, "p", us, kind) for (k, us), (a, kind) in at.items()]
+    expected = naive(events)
+    assert any(t - f > 200 for k, f, t, *_ in expected if k == "hot")
+    for blocks in (1, 2, 7, 40, None):
+        assert periods(spark, events, blocks=blocks) == expected, blocks
+
 
-    hot = [row[0] for row in spark.createDataFrame([("hot",), ("k5",)], "k string").select(digest("k")).collect()]
-    assert periods(spark, events, hot=[]) == periods(spark, events, hot=hot, block=17)
+def test_plan_sums_islands_and_reads_events_once(spark):
+    df = spark.createDataFrame([("hot" if i % 3 else f"k{i}", str(i % 2), i) for i in range(300)], "k string, a string, us long")
+    out = attribute_history(df, ["k"], ["a"], F.col("us"), F.lit(False))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "lag(" in plan and "sum(_changed" in plan and "_island" in plan and "lead(" in plan
