@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -12,10 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalis.operators.running import with_offset
-from marginalis.session import cut, spread
+from marginalis.session import cut
 
-#: Tokens in a block, slots in an output shard, chunks that a source's running totals go through.
-BLOCK, SHARD, CHUNKS = 256, 512, 256
+#: Tokens in a block, slots in an output shard, documents in a chunk of running totals, shards in a task.
+BLOCK, SHARD, CHUNK, SHARDS = 256, 512, 1 << 14, 1 << 11
 
 
 def blocks_of(documents: DataFrame, doc: str, source: str, tokens: str, block: int = BLOCK) -> DataFrame:
@@ -27,11 +26,11 @@ def blocks_of(documents: DataFrame, doc: str, source: str, tokens: str, block: i
     block of a source may be short.  Documents without tokens or a source are
     in no block.
     """
-    rows = documents.select(
-        F.col(source).alias("source"), F.col(doc).alias("doc"), F.col(tokens).alias("n"), F.pmod(F.xxhash64(doc, F.lit(1)), F.lit(CHUNKS)).alias("chunk"), F.xxhash64(doc).alias("h")
-    ).where("n > 0 and trim(source) <> ''")
+    rows = documents.select(F.col(source).alias("source"), F.col(doc).alias("doc"), F.col(tokens).alias("n"), F.xxhash64(doc).alias("h")).where("n > 0 and trim(source) <> ''")
     # the running totals read the rows twice, and sizes take long to count
-    placed = with_offset(cut(rows), ["source"], "chunk", ["h", "doc", "n"], "n", "at")
+    rows = cut(rows)
+    chunks = rows.count() // CHUNK + 1
+    placed = with_offset(rows.withColumn("chunk", F.pmod(F.xxhash64("doc", F.lit(1)), F.lit(chunks))), ["source"], "chunk", ["h", "doc", "n"], "n", "at")
     return placed.select(
         "source", "doc", "at", "n", F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("n") - 1) / block))).alias("block")
     ).select(
@@ -82,28 +81,60 @@ def shard_counts(slots: int, shares: np.ndarray, rng: np.random.Generator) -> np
     return whole
 
 
-def counts_before(slot: int, counts: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """How many of a mix's slots before ``slot`` each source has.
+#: numpy draws from the hypergeometric distribution up to this size.
+EXACT = 1_000_000_000
 
-    A source's slots are spread evenly over the mix: the m-th of c stands at
-    (m + start) / c between 0 and 1, and all sources' slots follow each other in
-    that order.  So any shard finds its counts alone, they follow the shares,
-    and over all shards they add up to ``counts`` exactly.
+
+def draw_left(counts: np.ndarray, left: int, rng: np.random.Generator) -> np.ndarray:
+    """How many of each source's slots are among ``left`` slots drawn from all
+    of ``counts`` without replacement: a multinomial draw given its totals.
+    Beyond numpy's size each source's draw takes the normal limit, within what
+    the totals leave possible."""
+    if counts.sum() < EXACT:
+        return rng.multivariate_hypergeometric(counts, left, method="marginals")
+    out, rest = np.zeros_like(counts), int(counts.sum())
+    for i, c in enumerate(counts.tolist()):
+        share = c / rest if rest else 0.0
+        spread_ = np.sqrt(max(0.0, left * share * (1 - share) * (rest - left) / max(1, rest - 1)))
+        out[i] = min(max(round(rng.normal(left * share, spread_)), left - (rest - c), 0), c, left)
+        left, rest = left - int(out[i]), rest - c
+    return out
+
+
+class Draws:
+    """Slots of each source in each shard of a mix: multinomial counts, drawn
+    so that over all shards they add up to ``counts``.
+
+    The shards are halved again and again, and each half's counts drawn from
+    those of the whole with a seed of its own, so any shard finds its counts,
+    and those before it, in a number of draws logarithmic in the shards.
     """
-    size = np.maximum(counts, 1)
-    # at this place there are surely no more than ``slot`` slots; the rest, about two for each source, come one by one
-    at = max(0.0, (slot - len(counts)) / max(1, counts.sum()) - 1e-9)
-    got = np.clip(np.floor(at * counts - start).astype(np.int64) + 1, 0, counts) if at else np.zeros(len(counts), dtype=np.int64)
-    queue = [((m + u) / c, i) for i, (m, u, c) in enumerate(zip(got.tolist(), start.tolist(), size.tolist(), strict=True)) if m < counts[i]]
-    heapq.heapify(queue)
-    for _ in range(slot - int(got.sum())):
-        _, i = queue[0]
-        got[i] += 1
-        if got[i] < counts[i]:
-            heapq.heapreplace(queue, ((got[i] + start[i]) / size[i], i))
-        else:
-            heapq.heappop(queue)
-    return got
+
+    def __init__(self, counts: np.ndarray, key: list[int]):
+        self.counts, self.key, self.size = counts, key, -(-int(counts.sum()) // SHARD)
+        self._memo: dict[tuple[int, int], np.ndarray] = {}
+
+    def of(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
+        """(counts of all shards before, counts of this one)."""
+        low, high, before, here = 0, self.size, np.zeros_like(self.counts), self.counts
+        while high - low > 1:
+            middle = (low + high) // 2
+            left = self._memo.get((low, high))
+            if left is None:
+                if len(self._memo) > 10_000:
+                    self._memo.clear()
+                left = self._memo[low, high] = draw_left(here, (middle - low) * SHARD, np.random.default_rng([*self.key, low, high]))
+            if shard < middle:
+                here, high = left, middle
+            else:
+                before, here, low = before + left, here - left, middle
+        return before, here
+
+
+def shard_plan(mixes: list[tuple], seed: int) -> tuple[np.ndarray, list[Draws]]:
+    """(number of the first shard of each mix, and of all, draws of each mix)."""
+    draws = [Draws(np.asarray(counts, dtype=np.int64), [seed, zlib.crc32(mix.encode())]) for mix, _, counts, _ in mixes]
+    return np.cumsum([0, *(d.size for d in draws)]), draws
 
 
 def mix_sources(documents: DataFrame, targets: DataFrame, doc: str = "doc_id", source: str = "source", tokens: str = "tokens", block: int = BLOCK, seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -124,7 +155,8 @@ def mix_sources(documents: DataFrame, targets: DataFrame, doc: str = "doc_id", s
     passes over its source, each in an order of its own.
 
     Plan: running totals in two levels cut sources into blocks; a mix's counts
-    are fixed once, and each shard finds its own and those before it by itself;
+    are fixed once, and each shard draws its own and those before it by itself;
+    shards are a range, so no task holds all of a mix;
     a slot's number within its source goes through the source's permutation
     to a block; one join by (source, block) brings the pieces.  The driver sees
     targets and one count per target source.
@@ -143,23 +175,27 @@ def mix_sources(documents: DataFrame, targets: DataFrame, doc: str = "doc_id", s
         room = (group["blocks"] * group["max_repeats"]).to_numpy(float)
         slots = slots_possible(shares, room)
         counts = shard_counts(slots, shares, np.random.default_rng([seed, zlib.crc32(mix.encode())]))
-        rows.append((mix, slots, [str(s) for s in group["source"]], [int(c) for c in counts], [int(b) for b in group["blocks"]]))
-    mixes = spark.createDataFrame(rows, "mix_name string, slots long, sources array<string>, counts array<long>, blocks array<long>")
-    shards = spread(mixes.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / SHARD)))).where("slots > 0"))
+        if slots:
+            rows.append((mix, [str(s) for s in group["source"]], [int(c) for c in counts], [int(b) for b in group["blocks"]]))
+    first_shard = shard_plan(rows, seed)[0]
+    total = int(first_shard[-1])
+    tasks = max(1, min(total, max(spark.sparkContext.defaultParallelism, total // SHARDS)))
+    shards = spark.range(0, total, 1, tasks)
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        starts, draws = shard_plan(rows, seed)
         for batch in batches:
             out = []
-            for r in batch.itertuples(index=False):
-                counts = np.asarray(r.counts, dtype=np.int64)
-                start = np.random.default_rng([seed, zlib.crc32(r.mix_name.encode()), 1]).random(len(counts))
-                before = counts_before(r.shard * SHARD, counts, start)
-                here = counts_before(min(r.slots, (r.shard + 1) * SHARD), counts, start) - before
+            for number in batch["id"]:
+                m = int(np.searchsorted(starts, number, side="right")) - 1
+                shard = int(number - starts[m])
+                before, here = draws[m].of(shard)
+                mix, names, _, blocks = rows[m]
                 first = 0
-                for s, c, n, b in zip(r.sources, here, before, r.blocks, strict=True):
+                for s, c, n, b in zip(names, here.tolist(), before.tolist(), blocks, strict=True):
                     if c:
-                        out.append((r.mix_name, r.shard, s, int(c), int(n), first, int(b)))
-                    first += int(c)
+                        out.append((mix, shard, s, c, n, first, b))
+                    first += c
             yield pd.DataFrame(out, columns=["mix_name", "shard", "source", "count", "before", "first_slot", "blocks"])
 
     drawn = shards.mapInPandas(draw, "mix_name string, shard long, source string, count long, before long, first_slot long, blocks long")
@@ -178,7 +214,7 @@ def mix_sources(documents: DataFrame, targets: DataFrame, doc: str = "doc_id", s
             yield batch.assign(turn=turn, block=at)[["mix_name", "shard", "slot", "source", "block", "turn"]]
 
     placed = slots.mapInPandas(place, "mix_name string, shard long, slot long, source string, block long, turn long")
-    mixed = cut(placed.join(pieces, ["source", "block"]).select("mix_name", "shard", "slot", "source", "block", "turn", F.col("doc").alias(doc), "first", "last"))
+    mixed = placed.join(pieces, ["source", "block"]).select("mix_name", "shard", "slot", "source", "block", "turn", F.col("doc").alias(doc), "first", "last")
     got = mixed.groupBy("mix_name", "source").agg(F.sum(F.col("last") - F.col("first")).alias("tokens"), (F.max("turn") + 1).alias("most_turns"))
     total = got.groupBy("mix_name").agg(F.sum("tokens").alias("_all"))
     present = wanted.join(sizes, "source").groupBy("mix_name").agg(F.sum("target_share").alias("_present"))

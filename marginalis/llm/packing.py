@@ -35,13 +35,14 @@ class Shelf:
         return size, item
 
 
-def pack(sizes: list[int], items: list, capacity: int) -> Iterator[list[tuple[int, object]]]:
+def pack(sizes: list[int], items: list, capacity: int, top_up: bool = True) -> Iterator[list[tuple[int, object]]]:
     """Bins of (size, item) for sizes from 0 to the capacity.
 
     Class k holds the sizes above capacity/(k+1) up to capacity/k, so that k of
     them always fit.  Bins are opened class by class from the largest items,
     each with its class's fixed count of k items; the room that is left takes
-    the largest items of further classes that fit, till none does.
+    the largest items of further classes that fit, till none does.  Without
+    ``top_up`` it stays empty, and a class's bins depend on that class alone.
     """
     shelf = Shelf(capacity)
     for size, item in zip(sizes, items, strict=True):
@@ -56,7 +57,7 @@ def pack(sizes: list[int], items: list, capacity: int) -> Iterator[list[tuple[in
                 break
             chosen.append(more)
             room -= more[0]
-        while (more := shelf.take(room)) is not None:
+        while top_up and (more := shelf.take(room)) is not None:
             chosen.append(more)
             room -= more[0]
         yield chosen
@@ -65,7 +66,7 @@ def pack(sizes: list[int], items: list, capacity: int) -> Iterator[list[tuple[in
 _ROW = "container_id int, bin string, item long, part int, size long"
 
 
-def harmonic_packing(items: DataFrame, containers: DataFrame, item: str = "doc_id", size: str = "tokens", capacity: str = "capacity_tokens") -> DataFrame:
+def harmonic_packing(items: DataFrame, containers: DataFrame, item: str = "doc_id", size: str = "tokens", capacity: str = "capacity_tokens", top_up: bool = True) -> DataFrame:
     """(container_id, bin, item, part, size): where each item goes, for each
     kind of container.
 
@@ -107,7 +108,7 @@ def harmonic_packing(items: DataFrame, containers: DataFrame, item: str = "doc_i
                         number += 1
                     sizes.append(rest)
                     named.append((i, full))
-                for chosen in pack(sizes, named, room):
+                for chosen in pack(sizes, named, room, top_up):
                     rows += [(kind, f"{task}-{number}", i, p, s) for s, (i, p) in chosen]
                     number += 1
                 yield pd.DataFrame({"container_id": pd.Series([r[0] for r in rows], dtype="int32"), "bin": [r[1] for r in rows], "item": pd.array([r[2] for r in rows], dtype="Int64"), "part": pd.Series([r[3] for r in rows], dtype="int32"), "size": pd.Series([r[4] for r in rows], dtype="int64")})

@@ -18,13 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marginalis.session import digest
+from marginalis.session import cut, digest
 
 # Letters of Cyrillic, Greek, Armenian and others with the shape of the Latin letter below them.
 LOOKALIKES = (
     ("АВЕЅІЈКМНОРСТҮХԚԜҺԌаеѕіјорсухһԁԛԝ", "ABESIJKMHOPCTYXQWHGaesijopcyxhdqw"),
     ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονϲϹ", "ABEZHIKMNOPTYXovcC"),
     ("ՕՍՏօսոհցᎪᏴᏟᎬᏦᏞᎷᏢᏒᏚᎢᏙᏃ", "OUSounhgABCEKLMPRSTVZ"),
+    ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFNLSRVHWXYAEIOU"),
+    ("Ӏӏʼ", "Il’"),
     ("ЁЇЀёїѐΆΈΊΌΎΪΫόӒӐӓӑӖӗӦӧ", "ËÏÈëïèÁÉÍÓÝÏŸóÄĂäăĔĕÖö"),
 )
 
@@ -176,9 +178,10 @@ def look_alikes(df: DataFrame, scope: str, key: str, fields: list[str]) -> DataF
     Blank values take no part, nor do rows without a key; null scopes are one
     scope.  Repeated rows count once.  Empty tables give no rows.
 
-    Plan: rows are grouped by (scope, field, form), first as distinct
-    spellings with map-side combine; only groups of two and more spellings go
-    on, spellings are paired, and the pairs meet the rows of either spelling.
+    Plan: one pass over the texts writes hashes of form and spelling.  Groups
+    of (scope, field, form) are reduced to their least and largest spelling
+    with map-side combine; only groups of two and more spellings go on, are
+    written, spellings are paired, and the pairs meet the rows of either.
     So a text that a third of the rows share costs nothing unless spelled in
     several ways, and then as much as it has pairs.
     """
@@ -187,14 +190,10 @@ def look_alikes(df: DataFrame, scope: str, key: str, fields: list[str]) -> DataF
         .select(F.col(scope).alias("scope"), F.col(key).alias("key"), "x.*")
         .where("text is not null and key is not null")
     )
-    rows = (
-        canonical_texts(values, "text")
-        .where("form <> ''")
-        .select("field", "key", digest("scope", "field", "form").alias("g"), F.unhex(F.md5("text")).alias("s"))
-        .distinct()
-    )
+    # written once: forms take long, and hashes are short
+    rows = cut(canonical_texts(values, "text").where("form <> ''").select("field", "key", digest("scope", "field", "form").alias("g"), F.unhex(F.md5("text")).alias("s")))
     mixed = rows.groupBy("g").agg(F.min("s").alias("lo"), F.max("s").alias("hi")).where("lo <> hi").select("g")
-    kept = rows.join(mixed, "g", "left_semi")
+    kept = cut(rows.join(mixed, "g", "left_semi").distinct())
     spellings = kept.select("g", "s").distinct()
     pairs = spellings.withColumnRenamed("s", "s_a").join(spellings.withColumnRenamed("s", "s_b"), "g").where("s_a <> s_b")
     a = kept.select("g", F.col("s").alias("s_a"), "field", F.col("key").alias(f"{key}_a"))

@@ -73,13 +73,38 @@ def test_shards_add_up_to_the_counts():
         shares = rng.dirichlet(np.full(sources, 0.5))
         room = rng.integers(1, 5000, sources).astype(float)
         slots = mixing.slots_possible(shares, room)
-        counts, start = mixing.shard_counts(slots, shares, rng), rng.random(sources)
+        counts = mixing.shard_counts(slots, shares, rng)
         assert counts.sum() == slots and np.all(counts <= room) and np.all(np.abs(counts - slots * shares) <= 1)
-        edges = [*range(0, slots, mixing.SHARD), slots]
-        before = np.array([mixing.counts_before(e, counts, start) for e in edges])
-        assert list(before.sum(axis=1)) == edges and list(before[-1]) == list(counts)
-        assert np.all(np.diff(before, axis=0) >= 0)
-        assert np.all(np.abs(before - np.outer(edges, counts) / max(1, slots)) < 3)
+        draws = mixing.Draws(counts, [1, 2])
+        got = [draws.of(i) for i in range(draws.size)]
+        assert [int(h.sum()) for _, h in got] == [min(mixing.SHARD, slots - i * mixing.SHARD) for i in range(draws.size)]
+        total = np.zeros_like(counts)
+        for before, here in got:
+            assert np.array_equal(before, total) and np.all(here >= 0)
+            total = total + here
+        assert draws.size == 0 or np.array_equal(total, counts)
+        # any shard is found alone
+        assert all(np.array_equal(mixing.Draws(counts, [1, 2]).of(i)[1], got[i][1]) for i in range(0, draws.size, 3))
+
+
+def test_counts_of_shards_are_multinomial():
+    # 4000 shards of two equal sources: mean 256, variance 128 of the binomial
+    draws = mixing.Draws(np.array([512 * 2000, 512 * 2000]), [7])
+    first = np.array([draws.of(i)[1][0] for i in range(4000)])
+    assert first.mean() == 256 and abs(first.var() / 128 - 1) < 0.12
+
+
+def test_huge_mixes_are_drawn_one_shard_at_a_time():
+    counts = np.array([3_000_000_000, 1_500_000_000, 620_000_003, 5], dtype=np.int64)
+    draws = mixing.Draws(counts, [3])
+    assert draws.size >= 10_000_000
+    previous = None
+    for i in (0, 1, 4_999_999, draws.size - 2, draws.size - 1):
+        before, here = draws.of(i)
+        assert before.sum() == i * mixing.SHARD and np.all(here >= 0) and np.all(before + here <= counts)
+        assert np.all(np.abs(before - float(i) * mixing.SHARD * (counts / counts.sum())) < 1e6)
+        previous = before + here
+    assert np.array_equal(previous, counts)
 
 
 def test_no_slot_is_left_out(spark):

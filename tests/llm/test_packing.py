@@ -40,6 +40,8 @@ def test_fixed_count_by_class():
     bins = list(pack([4] * 9, list(range(9)), 12))
     assert [len(b) for b in bins] == [3, 3, 3]
     assert [sorted(s for s, _ in b) for b in pack([7, 3, 2, 6, 6], list("abcde"), 12)] == [[2, 3, 7], [6, 6]]
+    # without topping up a class keeps to itself
+    assert sorted([sorted(s for s, _ in b) for b in pack([7, 3, 2, 6, 6, 3, 3], list("abcdefg"), 12, False)]) == [[2], [3, 3, 3], [6, 6], [7]]
     assert list(pack([0, 0], ["a", "b"], 5)) == [[(0, "b"), (0, "a")]]
 
 
@@ -48,9 +50,12 @@ def test_tokens_of_whole_texts(spark):
 
     from marginalis.llm.tokens import TOKENIZER, token_counts
 
-    made = Tokenizer.from_file(TOKENIZER)
-    texts = ["", None, "A short note.", "слово " * 5000, "<|endoftext|>"]
-    rows = token_counts(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), "text").collect()
-    got = {r.i: r.tokens for r in rows}
+    JSON = TOKENIZER.replace(".tiktoken", ".json")
+    made = Tokenizer.from_file(JSON)
+    texts = ["", None, "A short note.", "слово " * 5000, "<|endoftext|>", "end" + " \n" * 400_000 + " x" + "\t" * 3000]
+    df = spark.createDataFrame([(i, t, -1) for i, t in enumerate(texts)], "i int, text string, tokens int")
+    got = {r.i: r.tokens for r in token_counts(df, "text").collect()}
+    # another library with the same vocabulary counts alike
+    assert {r.i: r.tokens for r in token_counts(df, "text", tokenizer=JSON).collect()} == got
     assert got[0] == got[1] == 0 and got[2] == len(made.encode(texts[2], add_special_tokens=False)) and got[3] == len(made.encode(texts[3], add_special_tokens=False))
     assert got[4] > 1  # a special token's name is ordinary text
