@@ -17,8 +17,10 @@ import math
 import re
 import unicodedata
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain as chain_
 from itertools import product
 
 import numpy as np
@@ -44,8 +46,15 @@ CHAINS: tuple[tuple[str, ...], ...] = (
 )
 LOST = len(CHAINS) - 1
 
-#: Sizes of the tables of chain frequencies and of the model: fixed, whatever the input.
-GROUPS, LANGUAGES, BUCKETS, WORDS = 1024, 8, 1 << 16, 1 << 18
+#: Sizes of the model's tables, fixed whatever the input.  The most frequent
+#: languages have a table of letter pairs each; the others share the last one.
+LANGUAGES, BUCKETS, WORDS = 32, 1 << 16, 1 << 18
+
+#: Bits of the filter that tells which words have more than one likely reading.
+FILTER = 1 << 25
+
+#: Words of the vocabulary in a task, and groups up to which their frequencies go out with a join.
+TASK_WORDS, SMALL = 20_000, 20_000
 
 #: Bytes that cp1252 leaves undefined; readers put a replacement character for them.
 UNDEFINED = (0x81, 0x8D, 0x8F, 0x90, 0x9D)
@@ -174,10 +183,11 @@ def fillings(word: str) -> list[list[str]] | None:
 
 
 _SPLIT = re.compile(r"([ \t\r\n]+)")
+_WORD = re.compile(r"[^ \t\r\n]+")
 
 
 def odd_words(text: str) -> list[str]:
-    return [w for w in _SPLIT.split(text) if not w.isascii()]
+    return [w for w in _WORD.findall(text) if not w.isascii()]
 
 
 def _bucket(a: str, b: str) -> int:
@@ -195,9 +205,29 @@ def word_bucket(text: str) -> int:
     return zlib.crc32(re.sub(r"\d+", "0", text).encode("utf-8", "surrogatepass")) % WORDS
 
 
+def pair_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``pairs_of`` gives, for many texts at once: (buckets of the pairs,
+    buckets of the first letters, number of pairs of each text)."""
+    joined = re.sub(r"\d", "0", "".join(f"\x02{t}\x03" for t in texts))
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
+    inside = np.ones(len(codes), dtype=bool)
+    inside[np.cumsum(sizes + 1) - 1] = False
+    at = np.flatnonzero(inside)
+    first, second = codes[at] * np.uint64(0x9E3779B1), codes[at + 1] * np.uint64(0x85EBCA77)
+    code = lambda x: (x % np.uint64(0xFFFFFFFB) % np.uint64(BUCKETS)).astype(np.int64)
+    return code(first + second), code(first + np.uint64(0x85EBCA77)), sizes
+
+
+@cache
+def of_one_byte() -> np.ndarray:
+    """Whether a chain is between one-byte encodings, by its number."""
+    return np.array([0 < i < LOST and "utf-8" not in c for i, c in enumerate(CHAINS)])
+
+
 class Model:
-    """Chain frequencies per group, and the model of clean text: pairs of
-    letters per language, and how often words occur.
+    """The model of clean text, pairs of letters per language and how often
+    words occur, and the frequencies of chains over all groups.
 
     ``single`` scores by single letters instead of pairs.  The first round
     does, as the first counts hold the damaged words as they stand: given its
@@ -205,43 +235,54 @@ class Model:
     meant one, but each of its letters is rarer.
     """
 
-    def __init__(self, priors: np.ndarray, letters: np.ndarray, words: np.ndarray, single: bool = False):
-        self.log_prior = np.log(priors)
-        self.letters, self.words, self.single = letters, words, single
+    def __init__(self, overall: np.ndarray | None, letters: np.ndarray, words: np.ndarray, languages: dict[str, int], single: bool = False):
+        self.overall, self.letters, self.words, self.languages, self.single = overall, letters, words, languages, single
         self.all = letters.sum(axis=0)
         self.size = letters.sum(axis=1) / 2
-        self._memo: dict[tuple[str, int], float] = {}
-
-    def log_likelihood(self, text: str, language: int) -> float:
-        key = (text, language)
-        if key not in self._memo:
-            if len(self._memo) > 500_000:
-                self._memo.clear()
-            own, every, out = self.letters[language], self.all, 0.0
-            size, total = self.size[language], self.size.sum()
-            for pair, first in pairs_of(text):
-                if self.single:
-                    base = (every[first] + 1e-3) / (total + 50.0)
-                    out += math.log((own[first] + 20.0 * base) / (size + 20.0))
-                else:
-                    out += self.log_pair(pair, first, language)
-            self._memo[key] = out
-        return self._memo[key]
-
-    def log_pair(self, pair: int, first: int, language: int) -> float:
-        own, every = self.letters[language], self.all
-        base = (every[pair] + 1e-3) / (every[first] + 50.0)
-        return math.log((own[pair] + 20.0 * base) / (own[first] + 20.0))
-
-    def log_attested(self, raw: str, made: str) -> float:
-        """How much rarer the reading of a one-byte chain is than the word as
-        it stands; 0 if it isn't."""
-        return min(0.0, math.log((self.words[word_bucket(made)] + 1.0) / (self.words[word_bucket(raw)] + 1.0)))
-
-    def scores(self, options: list[tuple[int, str]], language: int) -> np.ndarray:
-        """Log likelihood of each reading, without the chains' frequencies."""
-        raw = options[0][1]
-        return np.array([self.log_likelihood(t, language) + (self.log_attested(raw, t) if c and "utf-8" not in CHAINS[c] else 0.0) for c, t in options])
+        self._priors: dict[str | None, np.ndarray] = {}
+
+    def language(self, name: str | None) -> int:
+        return self.languages.get(name or "", LANGUAGES - 1)
+
+    def log_prior(self, counted: str | None) -> np.ndarray:
+        """Frequencies of chains in a group from its own counts ('chain:count'
+        by blanks).  It leans on all groups: as much as on 20 words of its own,
+        and for a fifth in any case."""
+        if self.overall is None:
+            out = np.full(len(CHAINS), 0.5 / (len(CHAINS) - 1))
+            out[0] = 0.5
+            return np.log(out)
+        if counted not in self._priors:
+            if len(self._priors) > 100_000:
+                self._priors.clear()
+            own = 20.0 * self.overall
+            for item in (counted or "").split():
+                chain, weight = item.split(":")
+                own[int(chain)] += float(weight)
+            self._priors[counted] = np.log(np.maximum(0.8 * own / own.sum() + 0.2 * self.overall, 1e-7))
+        return self._priors[counted]
+
+    def log_pair(self, pair: np.ndarray | int, first: np.ndarray | int, language: np.ndarray | int) -> np.ndarray:
+        base = (self.all[pair] + 1e-3) / (self.all[first] + 50.0)
+        return np.log((self.letters[language, pair] + 20.0 * base) / (self.letters[language, first] + 20.0))
+
+    def scores(self, chains: np.ndarray, texts: list[str], marks: np.ndarray, starts: np.ndarray, languages: np.ndarray, pairs: tuple | None = None) -> np.ndarray:
+        """Log likelihood of readings of words, without the chains' frequencies.
+
+        The readings of a word follow each other from ``starts``, the word as
+        it stands first.  A chain between one-byte encodings is held against
+        how much rarer its reading is than the word as it stands.
+        """
+        pair, first, sizes = pairs or pair_codes(texts)
+        per_pair = np.repeat(languages, sizes)
+        if self.single:
+            base = (self.all[first] + 1e-3) / (self.size.sum() + 50.0)
+            logs = np.log((self.letters[per_pair, first] + 20.0 * base) / (self.size[per_pair] + 20.0))
+        else:
+            logs = self.log_pair(pair, first, per_pair)
+        raw = np.repeat(marks[starts], np.diff(np.append(starts, len(texts))))
+        attested = np.minimum(0.0, np.log((self.words[marks] + 1.0) / (self.words[raw] + 1.0)))
+        return np.add.reduceat(logs, np.cumsum(sizes) - sizes) + np.where(of_one_byte()[chains], attested, 0.0)
 
 
 #: Readings this much less likely than the word as it stands (a natural
@@ -259,13 +300,6 @@ def posterior(chains: np.ndarray, scores: np.ndarray, log_prior: np.ndarray) ->
     return score / score.sum()
 
 
-def likely(options: list[tuple[int, str]], scores: np.ndarray) -> tuple[list[tuple[int, str]], np.ndarray, np.ndarray]:
-    """The readings that aren't hopeless: (options, their chains, scores)."""
-    keep = [i for i in range(len(options)) if i == 0 or scores[i] > scores[0] - HOPELESS]
-    kept = [options[i] for i in keep]
-    return kept, np.array([c for c, _ in kept]), scores[keep]
-
-
 #: Fillings of a word that are looked up as words, the likeliest by their pairs
 #: of letters; the others count by their pairs alone.
 LOOKED_UP = 625
@@ -290,7 +324,7 @@ def refill(word: str, model: Model, language: int) -> tuple[str, bool]:
     for options in [*letters, ["\x03"]]:
         further, sums = {}, {}
         for ch in options:
-            step = {last: model.log_pair(_bucket(shown(last), shown(ch)), _bucket(shown(last), "\x01"), language) for last in begun}
+            step = {last: float(model.log_pair(_bucket(shown(last), shown(ch)), _bucket(shown(last), "\x01"), language)) for last in begun}
             further[ch] = heapq.nlargest(LOOKED_UP, ((s + step[last], made + ch) for last, starts in begun.items() for s, made in starts))
             sums[ch] = float(np.logaddexp.reduce([chance[last] + step[last] for last in begun]))
         begun, chance = further, sums
@@ -303,12 +337,14 @@ def refill(word: str, model: Model, language: int) -> tuple[str, bool]:
     return made[k], bool(weights[k] >= CLEAR * (weights.sum() + rest))
 
 
-def group_of(source: str | None, lang: str | None) -> int:
-    return zlib.crc32(f"{source or ''}\x1f{lang or ''}".lower().encode()) % GROUPS
+def _named(documents: DataFrame, source: str, lang: str) -> DataFrame:
+    """``documents`` with its group, a source and a language, and its language."""
+    plain = lambda c: F.lower(F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))))
+    return documents.withColumns({GROUP: F.concat(plain(source), F.lit("\x1f"), plain(lang)), LANGUAGE: plain(lang)})
 
 
-def language_of(lang: str | None) -> int:
-    return zlib.crc32((lang or "").strip().lower().encode()) % LANGUAGES
+#: Names of columns that no table has.
+GROUP, LANGUAGE, COUNTED = "marginalis group", "marginalis language", "marginalis counted"
 
 
 def vocabulary(documents: DataFrame, text: str, source: str, lang: str) -> DataFrame:
@@ -316,123 +352,238 @@ def vocabulary(documents: DataFrame, text: str, source: str, lang: str) -> DataF
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen: dict[tuple[str, int, int], int] = {}
-            for body, s, la in zip(batch[text], batch[source], batch[lang], strict=True):
+            seen: dict[tuple[str, str], Counter] = {}
+            for body, g, la in zip(batch[text], batch[GROUP], batch[LANGUAGE], strict=True):
                 if isinstance(body, str) and not body.isascii():
-                    g, k = group_of(s, la), language_of(la)
-                    for w in odd_words(body):
-                        seen[w, g, k] = seen.get((w, g, k), 0) + 1
-            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["word", "grp", "language", "n"])
+                    seen.setdefault((g, la), Counter()).update(odd_words(body))
+            yield pd.DataFrame([(w, *k, n) for k, words in seen.items() for w, n in words.items()], columns=["word", "grp", "language", "n"])
 
-    rows = spread(documents.select(text, source, lang)).mapInPandas(count, "word string, grp int, language int, n long")
+    rows = _named(spread(documents.select(text, source, lang)), source, lang).select(text, GROUP, LANGUAGE).mapInPandas(count, "word string, grp string, language string, n long")
     return rows.groupBy("word", "grp", "language").agg(F.sum("n").alias("n"))
 
 
-def fit(words: DataFrame, rounds: int = 4) -> Model:
-    """Estimate the model from a vocabulary by ``rounds`` of EM.
+_LISTED = "grp string, language string, n long, word string, chains array<int>, texts array<string>, marks array<int>"
 
-    Each round is one pass over the vocabulary; partitions return sums over
-    fixed tables (GROUPS x chains, LANGUAGES x BUCKETS, WORDS), which are added up in
-    the cluster, so what reaches the driver doesn't grow with the input.
+
+def _list(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        found = {w: readings(w) for w in batch["word"].unique()}
+        options = [found[w] for w in batch["word"]]
+        yield pd.DataFrame(
+            {
+                **{c: batch[c] for c in ("grp", "language", "n", "word")},
+                "chains": [[c for c, _ in o] for o in options], "texts": [[t for _, t in o] for o in options], "marks": [[word_bucket(t) for _, t in o] for o in options],
+            }
+        )
+
+
+def _flat(batch: pd.DataFrame) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The readings of a batch's words in a row: (chains, texts, marks, where
+    each word's begin, how many it has)."""
+    sizes = batch["chains"].map(len).to_numpy()
+    return np.concatenate(batch["chains"].to_list()), list(chain_.from_iterable(batch["texts"])), np.concatenate(batch["marks"].to_list()), np.cumsum(sizes) - sizes, sizes
+
+
+def fit(words: DataFrame, rounds: int = 4) -> tuple[Model, DataFrame | None, DataFrame]:
+    """Estimate the model from a vocabulary by ``rounds`` of EM: (model, counts
+    of chains per group as (grp, counted), the readings of all words).
+
+    Each round is one pass over the vocabulary.  Sums over tables of fixed size
+    reach the driver; the counts of groups, of which there may be any number,
+    stay in the cluster and meet the words in the next round by a join.
     """
     # words with lost bytes are no evidence of clean text: they are read by it when they are repaired
-    words = words.where(~F.col("word").contains("\ufffd"))
-    listed = cut(
-        words.repartition(words.sparkSession.sparkContext.defaultParallelism).mapInPandas(
-            lambda batches: (
-                b.assign(options=[[(c, t) for c, t in readings(w)] for w in b["word"]])[["grp", "language", "n", "options"]] for b in batches
-            ),
-            "grp int, language int, n long, options array<struct<chain:int,text:string>>",
-        )
-    )
-    priors = np.full((GROUPS, len(CHAINS)), 0.5 / (len(CHAINS) - 1))
-    priors[:, 0] = 0.5
-    model = None
+    words = cut(words.where(~F.col("word").contains("\ufffd")))
+    tasks = max(words.sparkSession.sparkContext.defaultParallelism, words.count() // TASK_WORDS)
+    listed = cut(words.repartition(tasks, "word").mapInPandas(_list, _LISTED))
+    frequent = words.groupBy("language").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "language").limit(LANGUAGES - 1).collect()
+    languages = {r["language"]: i for i, r in enumerate(frequent)}
+    model, counts = None, None
     for n in range(rounds + 1):
-        sums = listed.mapInPandas(_expect(model), "part int, i int, j int, weight double").groupBy("part", "i", "j").agg(F.sum("weight").alias("weight"))
-        got = sums.toPandas()
-        tables = [np.zeros((GROUPS, len(CHAINS))), np.zeros((LANGUAGES, BUCKETS)), np.zeros((1, WORDS))]
-        for part, filled in enumerate(tables):
+        sent = words.sparkSession.sparkContext.broadcast((model, languages))
+        sums = cut(
+            with_counts(listed, "grp", counts)
+            .mapInPandas(_expect(sent), "part int, grp string, i int, j int, weight double")
+            .groupBy("part", "grp", "i", "j")
+            .agg(F.sum("weight").alias("weight"))
+        )
+        got = sums.where("part > 0").drop("grp").toPandas()
+        tables = [np.zeros((LANGUAGES, BUCKETS)), np.zeros((1, WORDS))]
+        for part, filled in enumerate(tables, 1):
             rows = got[got["part"] == part]
             filled[rows["i"].to_numpy(), rows["j"].to_numpy()] = rows["weight"].to_numpy()
-        counted, letters, seen = tables
+        overall = None
         if model is not None:
-            # a group leans on all groups: as much as on 20 words of its own, and for a fifth in any case
-            overall = counted.sum(axis=0) + 1e-2
+            overall = np.full(len(CHAINS), 1e-2)
+            for r in sums.where("part = 0").groupBy("j").agg(F.sum("weight").alias("weight")).collect():
+                overall[r["j"]] += r["weight"]
             overall /= overall.sum()
-            counted += 20.0 * overall
-            priors = np.maximum(0.8 * counted / counted.sum(axis=1, keepdims=True) + 0.2 * overall, 1e-7)
-        model = Model(priors, letters, seen[0], single=n == 0)
-    return model
+            items = F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "j", "weight"))), " ")
+            counts = cut(sums.where("part = 0").groupBy("grp").agg(items.alias("counted")))
+        model = Model(overall, tables[0], tables[1][0], languages, single=n == 0)
+    return model, counts, listed
 
 
-def _expect(model: Model | None):
+def with_counts(df: DataFrame, group: str, counts: DataFrame | None) -> DataFrame:
+    """``df`` with its group's counts of chains, null for a group without any.
+
+    Counts of few groups go out whole (a group's take up to two kilobytes, so
+    SMALL of them some megabytes, mostly far less); of more Spark chooses the join.
+    """
+    if counts is None:
+        return df.withColumn(COUNTED, F.lit(None).cast("string"))
+    named = counts.select(F.col("grp").alias(f"{GROUP} of counts"), F.col("counted").alias(COUNTED))
+    named = F.broadcast(named) if counts.count() <= SMALL else named
+    return df.join(named, F.col(f"`{group}`") == F.col(f"`{GROUP} of counts`"), "left").drop(f"{GROUP} of counts")
+
+
+def _expect(sent):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chains = np.zeros((GROUPS, len(CHAINS)))
-        letters, seen = np.zeros((LANGUAGES, BUCKETS)), np.zeros((1, WORDS))
+        model, languages = sent.value
+        letters, seen = np.zeros(LANGUAGES * BUCKETS), np.zeros(WORDS)
         for batch in batches:
-            for grp, language, n, options in batch.itertuples(index=False):
-                options = [(o["chain"], o["text"]) for o in options]
-                if model is None:
-                    options, post = options[:1], (1.0,)
-                else:
-                    options, numbers, scores = likely(options, model.scores(options, language))
-                    post = posterior(numbers, scores, model.log_prior[grp]) if len(options) > 1 else (1.0,)
-                for (chain, text), w in zip(options, post, strict=True):
-                    if w < 1e-4:
-                        continue
-                    chains[grp, chain] += n * w
-                    seen[0, word_bucket(text)] += n * w
-                    for pair, first in pairs_of(text):
-                        letters[language, pair] += n * w
-                        letters[language, first] += n * w
-        out = []
-        for part, table in ((0, chains), (1, letters), (2, seen)):
-            i, j = np.nonzero(table)
-            out.append(pd.DataFrame({"part": part, "i": i.astype("int32"), "j": j.astype("int32"), "weight": table[i, j]}))
-        yield pd.concat(out)
+            if batch.empty:
+                continue
+            chains, texts, marks, starts, sizes = _flat(batch)
+            spoken = np.array([languages.get(x, LANGUAGES - 1) for x in batch["language"]])
+            if model is None:
+                # as they stand
+                texts, marks, chains, sizes = [texts[i] for i in starts], marks[starts], chains[starts], np.ones(len(starts), dtype=np.int64)
+                post = np.ones(len(texts))
+            names, known = pd.factorize(batch["grp"])
+            word = np.repeat(np.arange(len(batch)), sizes)
+            pairs = pair_codes(texts)
+            if model is not None:
+                scores = model.scores(chains, texts, marks, starts, spoken[word], pairs)
+                scores = np.where(scores > scores[starts][word] - HOPELESS, scores, -np.inf)
+                own = batch.groupby(names)[COUNTED].first()
+                priors = np.stack([model.log_prior(own[i] if isinstance(own[i], str) else None) for i in range(len(known))])
+                scores = scores + priors[names[word], chains]
+                post = np.exp(scores - np.maximum.reduceat(scores, starts)[word])
+                post /= np.add.reduceat(post, starts)[word]
+            weight = np.where(post < 1e-4, 0.0, post) * batch["n"].to_numpy()[word]
+            np.add.at(seen, marks, weight)
+            pair, first, lengths = pairs
+            each, place = np.repeat(weight, lengths), np.repeat(spoken[word], lengths) * BUCKETS
+            np.add.at(letters, place + pair, each)
+            np.add.at(letters, place + first, each)
+            table = np.bincount(names[word] * len(CHAINS) + chains, weight)
+            at = np.flatnonzero(table)
+            yield pd.DataFrame({"part": 0, "grp": known[at // len(CHAINS)], "i": 0, "j": at % len(CHAINS), "weight": table[at]})
+        for part, table, width in ((1, letters, BUCKETS), (2, seen, WORDS)):
+            at = np.flatnonzero(table)
+            yield pd.DataFrame({"part": part, "grp": "", "i": at // width, "j": at % width, "weight": table[at]})
 
     return run
 
 
-def repair_text(text: str, model: Model, group: int, language: int, memo: dict[tuple[str, int], tuple]) -> tuple[str, float, list[str], bool]:
+def _bits(word: str, language: str) -> tuple[int, int]:
+    data = f"{language}\x1f{word}".encode("utf-8", "surrogatepass")
+    return zlib.crc32(data) % FILTER, zlib.crc32(data, 0x5BD1E995) % FILTER
+
+
+def open_words(listed: DataFrame, model: Model) -> np.ndarray:
+    """Filter of the words that have a likely reading beside themselves, as 64
+    bits a number.  It never leaves one out; others may look as if they had
+    one, the more the larger the vocabulary, and are then found not to."""
+    sent = listed.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fitted, bits = sent.value, np.zeros(FILTER // 64, dtype=np.uint64)
+        for batch in batches:
+            batch = batch.drop_duplicates(["word", "language"])
+            if batch.empty:
+                continue
+            chains, texts, marks, starts, sizes = _flat(batch)
+            word = np.repeat(np.arange(len(batch)), sizes)
+            spoken = np.array([fitted.language(x) for x in batch["language"]])
+            scores = fitted.scores(chains, texts, marks, starts, spoken[word])
+            likely = np.add.reduceat(scores > scores[starts][word] - HOPELESS, starts) > 1
+            for w, la in zip(batch["word"][likely], batch["language"][likely], strict=True):
+                for bit in _bits(w, la):
+                    bits[bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
+        at = np.flatnonzero(bits)
+        yield pd.DataFrame({"i": at, "bits": bits[at].view(np.int64)})
+
+    got = listed.mapInPandas(run, "i long, bits long").groupBy("i").agg(F.bit_or("bits").alias("bits")).toPandas()
+    out = np.zeros(FILTER // 64, dtype=np.uint64)
+    out[got["i"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+class Reader:
+    """Reads words by a fitted model, each once."""
+
+    def __init__(self, model: Model, filter_: np.ndarray):
+        self.model, self.filter = model, filter_
+        self._open: dict[tuple[str, str], bool] = {}
+        self._read: dict[tuple[str, str], tuple] = {}
+
+    def is_open(self, word: str, language: str) -> bool:
+        """Whether the word may have to be read otherwise than it stands."""
+        known = self._open.get((word, language))
+        if known is None:
+            if len(self._open) > 500_000:
+                self._open.clear()
+            known = "\ufffd" in word or all(int(self.filter[b // 64]) >> (b % 64) & 1 for b in _bits(word, language))
+            self._open[word, language] = known
+        return known
+
+    def read(self, word: str, language: str) -> tuple[list[tuple[int, str]], np.ndarray, np.ndarray, bool]:
+        """(likely readings, their chains, scores, whether it is clear what
+        was meant by a word with lost bytes)."""
+        key = (word, language)
+        if key not in self._read:
+            if len(self._read) > 200_000:
+                self._read.clear()
+            spoken = self.model.language(language)
+            if "\ufffd" in word:
+                made, clear = refill(word, self.model, spoken)
+                self._read[key] = [(LOST, made)], np.array([LOST]), np.zeros(1), clear
+            else:
+                options = readings(word)
+                chains = np.array([c for c, _ in options])
+                texts = [t for _, t in options]
+                scores = self.model.scores(chains, texts, np.array([word_bucket(t) for t in texts]), np.zeros(1, dtype=np.int64), np.full(len(texts), spoken))
+                keep = np.flatnonzero(scores > scores[0] - HOPELESS)
+                self._read[key] = [options[i] for i in keep], chains[keep], scores[keep], True
+        return self._read[key]
+
+
+def repair_text(text: str, reader: Reader, log_prior: np.ndarray, language: str) -> tuple[str, int, list[str], bool]:
     """(restored text, words damaged, chains, whether all of it is restored).
 
     The record's own words shift the chain frequencies of its group: two rounds
     of EM within the record.
     """
+    odd = odd_words(text)
+    open_ = {w for w in odd if reader.is_open(w, language)}
+    if not open_:
+        return text, 0, [], True
     parts = _SPLIT.split(text)
-    odd = [i for i, w in enumerate(parts) if not w.isascii()]
     mass, options = np.zeros(len(CHAINS)), {}
-    for i in odd:
-        key = (parts[i], language)
-        if key not in memo:
-            if len(memo) > 200_000:
-                memo.clear()
-            if "\ufffd" in parts[i]:
-                filled, clear = refill(parts[i], model, language)
-                memo[key] = ([(LOST, filled)], None, clear)
-            else:
-                found = readings(parts[i])
-                memo[key] = (found, None, None) if len(found) == 1 else likely(found, model.scores(found, language))
-        if len(memo[key][0]) > 1:
-            options[i] = memo[key]
+    for i, w in enumerate(parts):
+        if w.isascii():
+            continue
+        found = reader.read(w, language) if w in open_ else None
+        if found is None or (len(found[0]) == 1 and found[0][0][0] == 0):
+            mass[0] += 1
         else:
-            mass[memo[key][0][0][0]] += 1
-            if memo[key][0][0][0] == LOST:
-                options[i] = memo[key]
-    open_ = [i for i in options if len(options[i][0]) > 1]
-    prior, posts, own = model.log_prior[group], {}, 20.0 * np.exp(model.log_prior[group])
-    for _ in range(3 if open_ else 0):
-        posts = {i: posterior(options[i][1], options[i][2], prior) for i in open_}
+            options[i] = found
+            if len(found[0]) == 1:
+                mass[LOST] += 1
+    several = [i for i in options if len(options[i][0]) > 1]
+    prior, posts, own = log_prior, {}, 20.0 * np.exp(log_prior)
+    for _ in range(3 if several else 0):
+        posts = {i: posterior(options[i][1], options[i][2], prior) for i in several}
         mixed = mass + own
-        for i in open_:
+        for i in several:
             np.add.at(mixed, options[i][1], posts[i])
         prior = np.log(mixed / mixed.sum())
     damaged, used, whole = 0, set(), True
     for i in options:
         if i not in posts:
-            (chain, made), whole = options[i][0][0], whole and options[i][2]
+            (chain, made), whole = options[i][0][0], whole and options[i][3]
         else:
             k = int(np.argmax(posts[i]))
             chain, made = options[i][0][k]
@@ -452,18 +603,22 @@ def restore(documents: DataFrame, text: str = "text", source: str = "source", la
     A text is garbled if one of its words is more likely to come from a wrong
     decoding than to be meant as it stands (by nine to one if it has but one
     letter or sign), or holds replacement characters.  Null, empty and pure ASCII texts aren't garbled
-    and come back as they are; null source and language are a source and a
-    language of their own.  Repeated rows are treated alike; an empty table
-    gives an empty one.  Texts are read whole, whatever their length.  Columns
-    with the names of the added ones are replaced.
-
-    Plan: one pass counts words beyond ASCII with map-side combine, a fixed
-    number of passes over that vocabulary estimates the model, and one pass
-    without a shuffle repairs the records.  Only tables of fixed size reach the
-    driver and go out with the tasks.
+    and come back as they are; null and blank sources are one source, and so
+    are languages; letter case and blanks around them don't count.  Repeated
+    rows are treated alike; an empty table gives an empty one.  Texts are read
+    whole, whatever their length.  Columns with the names of the added ones are
+    replaced.
+
+    Plan: one pass counts words beyond ASCII with map-side combine; their
+    readings are listed once; a fixed number of vectorised passes over the
+    vocabulary estimates the model; one pass repairs the records.  It looks
+    closer only at records with a word that a filter of fixed size lets
+    through.  Every source and language has chain frequencies of its own, which
+    come by a join.  Only tables of fixed size reach the driver and go out with
+    the tasks.
     """
     documents = documents.drop("garbled", "restored", "chains", "whole")
-    model = fit(vocabulary(documents, text, source, lang), rounds)
+    model, counts, listed = fit(vocabulary(documents, text, source, lang), rounds)
     names = documents.columns
     schema = T.StructType(
         [
@@ -474,18 +629,19 @@ def restore(documents: DataFrame, text: str = "text", source: str = "source", la
             T.StructField("whole", T.BooleanType()),
         ]
     )
-    sent = documents.sparkSession.sparkContext.broadcast((np.exp(model.log_prior), model.letters, model.words))
+    sent = documents.sparkSession.sparkContext.broadcast((model, open_words(listed, model)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fitted, memo = Model(*sent.value), {}
+        fitted, filter_ = sent.value
+        reader = Reader(fitted, filter_)
         for batch in batches:
             rows = []
-            for body, s, la in zip(batch[text], batch[source], batch[lang], strict=True):
+            for body, la, counted in zip(batch[text], batch[LANGUAGE], batch[COUNTED], strict=True):
                 if not isinstance(body, str) or body.isascii():
                     rows.append((False, body, [], True))
                     continue
-                made, damaged, used, whole = repair_text(body, fitted, group_of(s, la), language_of(la), memo)
+                made, damaged, used, whole = repair_text(body, reader, fitted.log_prior(counted if isinstance(counted, str) else None), la)
                 rows.append((damaged > 0, made, used, whole))
             yield pd.concat([batch[names].reset_index(drop=True), pd.DataFrame(rows, columns=["garbled", "restored", "chains", "whole"])], axis=1)
 
-    return spread(documents).mapInPandas(run, schema)
+    return with_counts(_named(spread(documents), source, lang), GROUP, counts).mapInPandas(run, schema)

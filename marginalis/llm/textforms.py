@@ -26,7 +26,7 @@ LOOKALIKES = (
     ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονϲϹ", "ABEZHIKMNOPTYXovcC"),
     ("ՕՍՏօսոհցᎪᏴᏟᎬᏦᏞᎷᏢᏒᏚᎢᏙᏃ", "OUSounhgABCEKLMPRSTVZ"),
     ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFNLSRVHWXYAEIOU"),
-    ("Ӏӏʼ", "Il’"),
+    ("Ӏӏ", "Il"),
     ("ЁЇЀёїѐΆΈΊΌΎΪΫόӒӐӓӑӖӗӦӧ", "ËÏÈëïèÁÉÍÓÝÏŸóÄĂäăĔĕÖö"),
 )
 
@@ -63,7 +63,7 @@ def mappings() -> tuple[dict[str, str], dict[str, str], str]:
                 (single if len(made) == 1 else several)[ch] = made
     for seen, meant in LOOKALIKES:
         single |= {a: b for a, b in zip(seen, meant, strict=True) if a != b}
-    single |= {"‐": "-", "‑": "-", "µ": "μ", "Ω": "Ω", "K": "K", "Å": "Å"}
+    single |= {"‐": "-", "ʼ": "’", "‑": "-", "µ": "μ", "Ω": "Ω", "K": "K", "Å": "Å"}
     return single, several, "".join(invisible)
 
 
