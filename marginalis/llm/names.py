@@ -243,8 +243,18 @@ def read_name(name: str) -> dict | None:
     """Profile of one spelling: kind, sure forms and hints; None for stand-ins.
 
     forms are strings 'given|surname' (people) or space-joined words
-    (organisations); hints are keys another profile may offer.
+    (organisations); hints are keys another profile may offer; plain holds the
+    words of a name of two and more, without initials, in reading order.
     """
+    profile = _profile(name)
+    if profile is not None:
+        spelled = [p for w in words(name)[0] for p in fold(w).split("-") if p and p not in ORGANISATION_FILLERS]
+        spelled = spelled[1:] if len(spelled) > 2 and spelled[0] in TITLES else spelled
+        profile["plain"] = " ".join(spelled) if 2 <= len(spelled) <= ABBREVIATED and min(map(len, spelled)) > 1 else ""
+    return profile
+
+
+def _profile(name: str) -> dict | None:
     plain = fold(name.strip())
     if not plain or plain in STAND_INS or not re.search(r"[^\W\d_]", plain):
         return None
@@ -330,12 +340,48 @@ def edit_keys(text: str) -> set[str]:
     return keys
 
 
+#: Names of more words aren't taken for the full form or an abbreviation of another.
+ABBREVIATED = 16
+
+
+def abbreviation_pattern(plain: str) -> str:
+    """Length of a name, and a pattern of the names it may abbreviate: word by
+    word the same first letter, and its letters in order among theirs."""
+    return f"{len(plain):04d}^" + " ".join(w[0] + "".join(f"[^{c} ]*{c}" for c in w[1:]) + "[^ ]*" for w in plain.split(" ")) + "$"
+
+
+def abbreviation_rows(plain: str, is_org: bool) -> Iterator[tuple[str, str, str, str]]:
+    """(role, kind, key, text) by which names that are in no list meet:
+
+    abbr: names of three and more words that abbreviate each other word by
+    word, by their initials and one word they share, if possible one that isn't
+    common among organisations; pre: a first word cut short, all others the
+    same; acr2: initials of a name that isn't known to be an organisation.
+    """
+    parts = plain.split(" ")
+    listed, common = given_classes(), organisation_words()
+    first, rest = parts[0], " ".join(parts[1:])
+    if not is_org and first not in listed:
+        for n in range(3, len(first) - 1):
+            yield "o", "pre", f"{first[:n]}|{rest}", ""
+        if len(first) > 2:
+            yield "s", "pre", f"{first}|{rest}", ""
+    if len(parts) > 2:
+        initials = "".join(w[0] for w in parts)
+        if not is_org:
+            yield "o", "acr2", initials, ""
+        telling = [i for i, w in enumerate(parts) if w not in common] or range(len(parts))
+        for i in telling:
+            yield "o", "abbr", f"{initials} {i} {parts[i]}", plain
+            yield "s", "abbr", f"{initials} {i} {parts[i]}", abbreviation_pattern(plain)
+
+
 #: A profile of more spellings than MISTYPED is mistyped only if another has at
 #: least so many times its spellings and its rows; else it is a name of its own.
 MISTYPED, TIMES_SPELLINGS, TIMES_ROWS = 2, 2, 20
 
 
-def blocking_rows(cid: str, forms: list[str], middle: list[str], hints: list[str], spellings: int, count: int) -> Iterator[tuple]:
+def blocking_rows(cid: str, forms: list[str], middle: list[str], hints: list[str], plains: list[str], spellings: int, count: int) -> Iterator[tuple]:
     """(cid, role, kind, key, text, spellings, count): what a profile offers
     (role o) and seeks (role s, or h for a hint with a typing error)."""
     row = lambda role, kind, key, text="": (cid, role, kind, key, text, spellings, count)
@@ -363,15 +409,21 @@ def blocking_rows(cid: str, forms: list[str], middle: list[str], hints: list[str
         for h in hints:
             kind, key = h.split(" ", 1)
             sought.add(row("s", kind, key, known))
+            if kind == "acr":
+                sought.add(row("s", "acr2", key))
             if kind == "nick":
                 for part in edit_keys(key):
                     sought.add(row("h", "typo", part, key))
+    is_org = any("|" not in f for f in forms)
+    for plain in plains:
+        for role, kind, key, text in abbreviation_rows(plain, is_org):
+            (offered if role == "o" else sought).add(row(role, kind, key, text))
     yield from offered
     yield from sought
 
 
 _BLOCKS = "cid string, role string, kind string, key string, text string, spellings long, count long"
-_PROFILE = "name string, sure string, forms array<string>, middle array<string>, hints array<string>, count long"
+_PROFILE = "name string, sure string, forms array<string>, middle array<string>, hints array<string>, plain string, count long"
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -380,13 +432,13 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for name, count in zip(batch["name"], batch["count"], strict=True):
             p = read_name(name) if isinstance(name, str) else None
             if p is not None:
-                out.append((name, sure_key(p), p["forms"], p["middle"], p["hints"], count))
-        yield pd.DataFrame(out, columns=["name", "sure", "forms", "middle", "hints", "count"])
+                out.append((name, sure_key(p), p["forms"], p["middle"], p["hints"], p["plain"], count))
+        yield pd.DataFrame(out, columns=["name", "sure", "forms", "middle", "hints", "plain", "count"])
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [r for p in batch.itertuples(index=False) for r in blocking_rows(p.cid, list(p.forms), list(p.middle), list(p.hints), p.spellings, p.count)]
+        rows = [r for p in batch.itertuples(index=False) for r in blocking_rows(p.cid, list(p.forms), list(p.middle), list(p.hints), list(p.plains), p.spellings, p.count)]
         yield pd.DataFrame(rows, columns=["cid", "role", "kind", "key", "text", "spellings", "count"])
 
 
@@ -408,66 +460,98 @@ def link_names(names: DataFrame) -> DataFrame:
     titles, remarks in brackets, or in known short forms and transliterations
     are one.  Initials, handles, acronyms, shortened organisations and short
     forms of several names join the one entity that offers what they say; with
-    two or more such entities they stay alone.  A spelling with one typing
+    two or more such entities they stay alone.  Where that says nothing, names
+    in no list are compared by rule: three and more words that abbreviate
+    another name word by word, a first word cut short by two and more letters,
+    initials; each joins the one entity that fits.  A spelling with one typing
     error joins the one better attested entity within one edit; if it itself
     occurs in more than MISTYPED ways, only one that is attested many times as
     well, or else it is a name of its own.  Names of
     any length are read whole.  An empty table gives an empty one.
 
-    Plan: everything is keyed by what profiles offer and seek, so a round is
-    one join of two keyed tables and an aggregation per seeker; no pairs are
-    formed within a block but of seeker and offer.  A seeker merges only with a
-    profile that doesn't itself merge in the round, which makes every merge one
-    hop; chains take further rounds.
+    Plan: everything is keyed by what profiles offer and seek.  Offers of a
+    key are reduced to their number, least and largest profile before they
+    meet who seeks it, so a popular key makes no product; only typing errors
+    and abbreviations, whose keys few profiles share, are compared one by one.
+    A seeker merges only with a profile that doesn't itself merge in the round,
+    which makes every merge one hop; chains take further rounds, and of two
+    that seek each other the larger id merges.
     """
     read = cut(names.mapInPandas(_read, _PROFILE))
     ids = read.groupBy("sure").agg(F.min("name").alias("entity"))
-    members = read.join(ids, "sure").select("name", "entity", "forms", "middle", "hints", "count")
+    members = read.join(ids, "sure").select("name", "entity", "forms", "middle", "hints", "plain", "count")
     while True:
         members = cut(members)
         profiles = members.groupBy(F.col("entity").alias("cid")).agg(
             F.array_distinct(F.flatten(F.collect_set("forms"))).alias("forms"),
             F.array_distinct(F.flatten(F.collect_set("middle"))).alias("middle"),
             F.array_distinct(F.flatten(F.collect_set("hints"))).alias("hints"),
+            F.collect_set(F.nullif(F.col("plain"), F.lit(""))).alias("plains"),
             F.count("*").alias("spellings"),
             F.sum("count").alias("count"),
         )
         blocks = cut(profiles.mapInPandas(_blocks, _BLOCKS))
-        side = lambda roles, s: blocks.where(F.col("role").isin(*roles)).select("kind", "key", *[F.col(c).alias(c + s) for c in ("role", "cid", "text", "spellings", "count")])
-        a, b = side("sh", "_a"), side("o", "_b")
-        stronger = F.struct("spellings_b", "count_b", "cid_b") > F.struct("spellings_a", "count_a", "cid_a")
-        # hints seek by their one meaning, whatever their spellings
-        rare = (F.col("spellings_a") <= MISTYPED) | (F.col("spellings_b") >= TIMES_SPELLINGS * F.col("spellings_a")) & (F.col("count_b") >= TIMES_ROWS * F.col("count_a"))
-        fits = (
-            F.when(F.col("kind") == "typo", stronger & (rare | (F.col("role_a") == "h")) & _one_edit("text_a", "text_b"))
-            .when(F.col("kind") == "ini", (F.col("text_a") == "") | (F.col("text_b") == "") | F.col("text_b").contains(F.col("text_a")))
-            .otherwise(True)
-        )
-        found = (
-            a.join(b, ["kind", "key"])
-            .where((F.col("cid_a") != F.col("cid_b")) & fits)
-            .groupBy("cid_a")
-            .agg(*[f(F.when(F.col("kind") == "typo" if typo else F.col("kind") != "typo", F.col("cid_b"))).alias(f"{n}_{typo}") for typo in (0, 1) for n, f in (("lo", F.min), ("hi", F.max))])
-            # what a hint says outright goes before what it says with an error
-            .select(
-                "cid_a", F.col("lo_0").isNull().alias("mistyped"),
-                F.when(F.col("lo_0").isNull(), F.when(F.expr("lo_1 = hi_1"), F.col("lo_1"))).when(F.expr("lo_0 = hi_0"), F.col("lo_0")).alias("cid_b"),
-            )
-            .where("cid_b is not null")
-        )
-        found = cut(found)
-        if found.isEmpty():
+        found = cut(_sought(blocks))
+        # further tiers are looked at once nothing else merges: until then a name may have more spellings than it seems
+        tier = found.agg(F.min("tier")).first()[0]
+        if tier is None:
             break
-        # errors are looked at once nothing else merges: until then a name may have more spellings than it seems
-        sure = found.where("not mistyped")
-        found = (found if sure.isEmpty() else sure).drop("mistyped")
-        settled = found.join(found.select(F.col("cid_a").alias("cid_b")), "cid_b", "left_anti")
+        settled = _one_hop(found.where(F.col("tier") == tier).select("cid_a", "cid_b"))
         members = members.join(settled.withColumnRenamed("cid_a", "entity"), "entity", "left").select(
-            "name", F.coalesce("cid_b", "entity").alias("entity"), "forms", "middle", "hints", "count"
+            "name", F.coalesce("cid_b", "entity").alias("entity"), "forms", "middle", "hints", "plain", "count"
         )
     return members.select("name", "entity")
 
 
+#: Kinds of keys in the order in which they are believed; two profiles that offer the same are told apart by none.
+TIERS = {"ini": 0, "nick": 0, "run": 0, "acr": 0, "short": 0, "abbr": 1, "pre": 1, "acr2": 1, "typo": 2}
+PAIRWISE = ("abbr", "typo")
+
+
+def _sought(blocks: DataFrame) -> DataFrame:
+    """(cid_a, cid_b, tier): the one profile that fits a seeker on the first
+    tier where any does."""
+    side = lambda roles, s: blocks.where(F.col("role").isin(*roles)).select("kind", "key", *[F.col(c).alias(c + s) for c in ("role", "cid", "text", "spellings", "count")])
+    a, b = side("sh", "_a"), side("o", "_b")
+    pairwise = F.col("kind").isin(*PAIRWISE)
+    me, lo, hi, n = (F.col(c) for c in ("cid_a", "lo", "hi", "n"))
+    offers = b.where(~pairwise).groupBy("kind", "key", F.col("text_b")).agg(F.min("cid_b").alias("lo"), F.max("cid_b").alias("hi"), F.count("*").alias("n"))
+    by_key = (
+        a.where(~pairwise)
+        .join(offers, ["kind", "key"])
+        .where((F.col("kind") != "ini") | (F.col("text_a") == "") | (F.col("text_b") == "") | F.col("text_b").contains(F.col("text_a")))
+        # the others: of three and more any two tell that there are several
+        .select("cid_a", "kind", F.when((lo == me) & (n == 1), None).when((lo == me) & (n == 2), hi).otherwise(lo).alias("lo"), F.when((hi == me) & (n == 1), None).when((hi == me) & (n == 2), lo).otherwise(hi).alias("hi"))
+    )
+    stronger = F.struct("spellings_b", "count_b", "cid_b") > F.struct("spellings_a", "count_a", "cid_a")
+    # hints seek by their one meaning, whatever their spellings
+    rare = (F.col("spellings_a") <= MISTYPED) | (F.col("spellings_b") >= TIMES_SPELLINGS * F.col("spellings_a")) & (F.col("count_b") >= TIMES_ROWS * F.col("count_a"))
+    mistyped = stronger & (rare | (F.col("role_a") == "h")) & _one_edit("text_a", "text_b")
+    # a letter less is a typing error
+    shorter = F.length("text_b") > F.substring("text_a", 1, 4).try_cast("int") + 1
+    abbreviated = shorter & F.rlike("text_b", F.substr("text_a", F.lit(5)))
+    one_by_one = (
+        a.where(pairwise)
+        .join(b.where(pairwise), ["kind", "key"])
+        .where((me != F.col("cid_b")) & F.when(F.col("kind") == "typo", mistyped).otherwise(abbreviated))
+        .select("cid_a", "kind", F.col("cid_b").alias("lo"), F.col("cid_b").alias("hi"))
+    )
+    tier = F.create_map(*[F.lit(x) for item in TIERS.items() for x in item])[F.col("kind")]
+    fits = by_key.unionByName(one_by_one).where("lo is not null").groupBy("cid_a", tier.alias("tier")).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    first = fits.groupBy("cid_a").agg(F.min(F.struct("tier", "lo", "hi")).alias("m")).select("cid_a", "m.*")
+    return first.where("lo = hi").select("cid_a", F.col("lo").alias("cid_b"), "tier")
+
+
+def _one_hop(found: DataFrame) -> DataFrame:
+    """The merges whose goal doesn't merge itself; there is one if there is any."""
+    back = found.select(F.col("cid_a").alias("cid_b"), F.col("cid_b").alias("cid_a"), F.lit(True).alias("mutual"))
+    found = cut(found.join(back, ["cid_a", "cid_b"], "left").where("mutual is null or cid_b < cid_a").drop("mutual"))
+    rest = lambda f: f.join(f.select(F.col("cid_a").alias("cid_b")), "cid_b", "left_anti")
+    settled = cut(rest(found))
+    # a ring of three and more: those that lead to a smaller id make none
+    return rest(found.where("cid_b < cid_a")) if settled.isEmpty() else settled
+
+
 def _one_edit(a: str, b: str) -> "F.Column":
     letters = lambda c: F.array_sort(F.split(F.col(c), ""))
     distance = F.levenshtein(F.col(a), F.col(b), 2)
