@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,24 +13,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _folder(spark: SparkSession) -> str:
+    sc = spark.sparkContext
+    found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if found is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="marginalis-")
+        sc.setCheckpointDir(found)
+    return found
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` and cut its lineage with a reliable checkpoint.
+    """Write ``df`` and read it back: cuts its lineage, survives lost executors.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; only where that is
-    unset (tests, local mode) a temporary one is used.  Spark removes a
-    checkpoint when its table is no longer referenced, if the session was
-    started with ``spark.cleaner.referenceTracking.cleanCheckpoints``.
+    A table in the cluster's ``spark.checkpoint.dir``; only where that is unset
+    (tests, local mode) in a temporary folder.  Unlike a checkpoint it doesn't
+    keep the size that was estimated for the plan, which in a loop of joins
+    gets twice as many digits each round until planning takes for ever, and
+    readers take only the columns they need.  Deleted when the application ends.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            configured = tempfile.mkdtemp(prefix="marginalis-")
-        sc.setCheckpointDir(configured)
-    return df.checkpoint(eager=True)
+    path = f"{_folder(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def digest(*cols) -> "F.Column":
