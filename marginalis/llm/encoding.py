@@ -225,6 +225,19 @@ def of_one_byte() -> np.ndarray:
     return np.array([0 < i < LOST and "utf-8" not in c for i, c in enumerate(CHAINS)])
 
 
+def sparse(table: np.ndarray) -> tuple:
+    """(shape, places, values) of the cells that aren't 0."""
+    at = np.flatnonzero(table)
+    return table.shape, at.astype(np.int32), table.reshape(-1)[at]
+
+
+def dense(cells: tuple) -> np.ndarray:
+    shape, at, values = cells
+    out = np.zeros(int(np.prod(shape)), dtype=values.dtype)
+    out[at] = values
+    return out.reshape(shape)
+
+
 class Model:
     """The model of clean text, pairs of letters per language and how often
     words occur, and the frequencies of chains over all groups.
@@ -241,6 +254,13 @@ class Model:
         self.size = letters.sum(axis=1) / 2
         self._priors: dict[str | None, np.ndarray] = {}
 
+    def __getstate__(self) -> dict:
+        # most cells are empty, and the model goes out with every round
+        return {"overall": self.overall, "languages": self.languages, "single": self.single, "letters": sparse(self.letters), "words": sparse(self.words)}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__init__(state["overall"], dense(state["letters"]), dense(state["words"]), state["languages"], state["single"])
+
     def language(self, name: str | None) -> int:
         return self.languages.get(name or "", LANGUAGES - 1)
 
@@ -407,6 +427,8 @@ def fit(words: DataFrame, rounds: int = 4) -> tuple[Model, DataFrame | None, Dat
             .groupBy("part", "grp", "i", "j")
             .agg(F.sum("weight").alias("weight"))
         )
+        # written: nothing asks for the model of this round again
+        sent.destroy()
         got = sums.where("part > 0").drop("grp").toPandas()
         tables = [np.zeros((LANGUAGES, BUCKETS)), np.zeros((1, WORDS))]
         for part, filled in enumerate(tables, 1):
@@ -506,6 +528,7 @@ def open_words(listed: DataFrame, model: Model) -> np.ndarray:
         yield pd.DataFrame({"i": at, "bits": bits[at].view(np.int64)})
 
     got = listed.mapInPandas(run, "i long, bits long").groupBy("i").agg(F.bit_or("bits").alias("bits")).toPandas()
+    sent.destroy()
     out = np.zeros(FILTER // 64, dtype=np.uint64)
     out[got["i"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
     return out
@@ -629,11 +652,11 @@ def restore(documents: DataFrame, text: str = "text", source: str = "source", la
             T.StructField("whole", T.BooleanType()),
         ]
     )
-    sent = documents.sparkSession.sparkContext.broadcast((model, open_words(listed, model)))
+    sent = documents.sparkSession.sparkContext.broadcast((model, sparse(open_words(listed, model))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fitted, filter_ = sent.value
-        reader = Reader(fitted, filter_)
+        reader = Reader(fitted, dense(filter_))
         for batch in batches:
             rows = []
             for body, la, counted in zip(batch[text], batch[LANGUAGE], batch[COUNTED], strict=True):

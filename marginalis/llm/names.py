@@ -250,6 +250,7 @@ def read_name(name: str) -> dict | None:
     if profile is not None:
         spelled = [p for w in words(name)[0] for p in fold(w).split("-") if p and p not in ORGANISATION_FILLERS]
         spelled = spelled[1:] if len(spelled) > 2 and spelled[0] in TITLES else spelled
+        spelled = [organisation_words().get(w, w) if i else w for i, w in enumerate(spelled)]
         profile["plain"] = " ".join(spelled) if 2 <= len(spelled) <= ABBREVIATED and min(map(len, spelled)) > 1 else ""
     return profile
 
@@ -345,9 +346,14 @@ ABBREVIATED = 16
 
 
 def abbreviation_pattern(plain: str) -> str:
-    """Length of a name, and a pattern of the names it may abbreviate: word by
-    word the same first letter, and its letters in order among theirs."""
-    return f"{len(plain):04d}^" + " ".join(w[0] + "".join(f"[^{c} ]*{c}" for c in w[1:]) + "[^ ]*" for w in plain.split(" ")) + "$"
+    """Pattern of the names that a name may abbreviate: each word the same, or
+    two and more letters longer, with the same first letter and the others in
+    order.  Words of the list have their meaning and stand as they are."""
+    made = []
+    for w in plain.split(" "):
+        longer = w[0] + "".join(f"[^{c} ]*{c}" for c in w[1:]) + "[^ ]*"
+        made.append(w if w in ORGANISATION_WORDS else f"(?:{w}|(?=[^ ]{{{len(w) + 2},}}){longer})")
+    return "^" + " ".join(made) + "$"
 
 
 def abbreviation_rows(plain: str, is_org: bool) -> Iterator[tuple[str, str, str, str]]:
@@ -527,9 +533,7 @@ def _sought(blocks: DataFrame) -> DataFrame:
     # hints seek by their one meaning, whatever their spellings
     rare = (F.col("spellings_a") <= MISTYPED) | (F.col("spellings_b") >= TIMES_SPELLINGS * F.col("spellings_a")) & (F.col("count_b") >= TIMES_ROWS * F.col("count_a"))
     mistyped = stronger & (rare | (F.col("role_a") == "h")) & _one_edit("text_a", "text_b")
-    # a letter less is a typing error
-    shorter = F.length("text_b") > F.substring("text_a", 1, 4).try_cast("int") + 1
-    abbreviated = shorter & F.rlike("text_b", F.substr("text_a", F.lit(5)))
+    abbreviated = F.rlike(F.col("text_b"), F.col("text_a"))
     one_by_one = (
         a.where(pairwise)
         .join(b.where(pairwise), ["kind", "key"])
@@ -545,9 +549,9 @@ def _sought(blocks: DataFrame) -> DataFrame:
 def _one_hop(found: DataFrame) -> DataFrame:
     """The merges whose goal doesn't merge itself; there is one if there is any."""
     back = found.select(F.col("cid_a").alias("cid_b"), F.col("cid_b").alias("cid_a"), F.lit(True).alias("mutual"))
-    found = cut(found.join(back, ["cid_a", "cid_b"], "left").where("mutual is null or cid_b < cid_a").drop("mutual"))
+    one_way = found.join(back, ["cid_a", "cid_b"], "left").where("mutual is null or cid_b < cid_a").drop("mutual")
     rest = lambda f: f.join(f.select(F.col("cid_a").alias("cid_b")), "cid_b", "left_anti")
-    settled = cut(rest(found))
+    settled = cut(rest(one_way))
     # a ring of three and more: those that lead to a smaller id make none
     return rest(found.where("cid_b < cid_a")) if settled.isEmpty() else settled
 
