@@ -534,22 +534,33 @@ def open_words(listed: DataFrame, model: Model) -> np.ndarray:
     return out
 
 
+#: A word is read more closely if the chance that it is meant otherwise could
+#: pass this (a natural logarithm) in the most damaged record of its length.
+CONTESTED = -4.0
+
+
 class Reader:
     """Reads words by a fitted model, each once."""
 
     def __init__(self, model: Model, filter_: np.ndarray):
         self.model, self.filter = model, filter_
-        self._open: dict[tuple[str, str], bool] = {}
+        self._lean: dict[str, dict[str, float]] = {}
         self._read: dict[tuple[str, str], tuple] = {}
 
-    def is_open(self, word: str, language: str) -> bool:
-        """Whether the word may have to be read otherwise than it stands."""
-        known = self._open.get((word, language))
-        if known is None:
-            if len(self._open) > 500_000:
-                self._open.clear()
-            known = "\ufffd" in word or all(int(self.filter[b // 64]) >> (b % 64) & 1 for b in _bits(word, language))
-            self._open[word, language] = known
+    def leans(self, words: set[str], language: str) -> dict[str, float]:
+        """How much likelier than as they stand words are to be meant
+        otherwise, were all chains as frequent (natural logarithms)."""
+        known = self._lean.setdefault(language, {})
+        if len(known) > 500_000:
+            known.clear()
+        for w in [w for w in words if w not in known]:
+            if "\ufffd" in w:
+                known[w] = math.inf
+            elif all(int(self.filter[b // 64]) >> (b % 64) & 1 for b in _bits(w, language)):
+                scores = self.read(w, language)[2]
+                known[w] = float(np.logaddexp.reduce(scores[1:] - scores[0])) if len(scores) > 1 else -math.inf
+            else:
+                known[w] = -math.inf
         return known
 
     def read(self, word: str, language: str) -> tuple[list[tuple[int, str]], np.ndarray, np.ndarray, bool]:
@@ -577,45 +588,42 @@ def repair_text(text: str, reader: Reader, log_prior: np.ndarray, language: str)
     """(restored text, words damaged, chains, whether all of it is restored).
 
     The record's own words shift the chain frequencies of its group: two rounds
-    of EM within the record.
+    of EM within the record.  They can't make a chain more frequent against
+    clean words than all of them together would; words that would be clean even
+    then count as clean from the start.
     """
     odd = odd_words(text)
-    open_ = {w for w in odd if reader.is_open(w, language)}
-    if not open_:
+    lean = reader.leans(set(odd), language)
+    least = CONTESTED - math.log((len(odd) + 20) / 20) + log_prior[0]
+    contested = Counter(w for w in odd if lean[w] >= least)
+    if not contested:
         return text, 0, [], True
-    parts = _SPLIT.split(text)
-    mass, options = np.zeros(len(CHAINS)), {}
-    for i, w in enumerate(parts):
-        if w.isascii():
-            continue
-        found = reader.read(w, language) if w in open_ else None
-        if found is None or (len(found[0]) == 1 and found[0][0][0] == 0):
-            mass[0] += 1
-        else:
-            options[i] = found
-            if len(found[0]) == 1:
-                mass[LOST] += 1
-    several = [i for i in options if len(options[i][0]) > 1]
-    prior, posts, own = log_prior, {}, 20.0 * np.exp(log_prior)
+    found = {w: reader.read(w, language) for w in contested}
+    mass = 20.0 * np.exp(log_prior)
+    mass[0] += len(odd) - contested.total()
+    mass[LOST] += sum(n for w, n in contested.items() if found[w][1][0] == LOST)
+    several = [w for w in contested if len(found[w][0]) > 1]
+    prior, posts = log_prior, {}
     for _ in range(3 if several else 0):
-        posts = {i: posterior(options[i][1], options[i][2], prior) for i in several}
-        mixed = mass + own
-        for i in several:
-            np.add.at(mixed, options[i][1], posts[i])
+        posts = {w: posterior(found[w][1], found[w][2], prior) for w in several}
+        mixed = mass.copy()
+        for w in several:
+            np.add.at(mixed, found[w][1], contested[w] * posts[w])
         prior = np.log(mixed / mixed.sum())
-    damaged, used, whole = 0, set(), True
-    for i in options:
-        if i not in posts:
-            (chain, made), whole = options[i][0][0], whole and options[i][3]
+    changed, used, whole = {}, set(), True
+    for w in contested:
+        if w not in posts:
+            (chain, made), whole = found[w][0][0], whole and found[w][3]
         else:
-            k = int(np.argmax(posts[i]))
-            chain, made = options[i][0][k]
-            if chain == 0 or posts[i][0] > (CLEAN if sum(map(str.isalpha, parts[i])) > 1 else CLEAN_THIN):
+            k = int(np.argmax(posts[w]))
+            chain, made = found[w][0][k]
+            if chain == 0 or posts[w][0] > (CLEAN if sum(map(str.isalpha, w)) > 1 else CLEAN_THIN):
                 continue
-        damaged += 1
         used.add("<".join(CHAINS[chain]))
-        parts[i] = made
-    return "".join(parts), damaged, sorted(used), whole
+        changed[w] = made
+    if not changed:
+        return text, 0, [], True
+    return "".join(changed.get(w, w) for w in _SPLIT.split(text)), sum(contested[w] for w in changed), sorted(used), whole
 
 
 def restore(documents: DataFrame, text: str = "text", source: str = "source", lang: str = "lang", rounds: int = 4) -> DataFrame:
