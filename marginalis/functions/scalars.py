@@ -170,20 +170,39 @@ def footer_status(book_page: Column, candidates: Column) -> Column:
     )
 
 
-def looks_like_full_name(col: Column) -> Column:
+def looks_like_full_name(col: Column, generic: tuple[str, ...] = GENERIC_AUTHORS) -> Column:
     """Two and more words, a letter in each of the first four, not generic."""
     parts = F.split(collapse(col), " ")
-    return (F.size(parts) >= 2) & F.forall(F.slice(parts, 1, 4), lambda p: p.rlike(r"\p{L}")) & ~is_generic(col)
+    return (F.size(parts) >= 2) & F.forall(F.slice(parts, 1, 4), lambda p: p.rlike(r"\p{L}")) & ~raw_author(col).isin(*generic)
 
 
-def reviewer_name(raw: Column, filename: Column, aliases: dict[str, str]) -> Column:
-    """Reviewer by alias of the raw author, the raw author if it is a full
-    name, or an alias that stands as a word in the file's name; else ''."""
-    key = raw_author(raw)
+# Words of file names that belong to no name.
+FILE_WORDS = (
+    "igcse", "arabic", "cie", "cambridge", "book", "pdf", "review", "reviewed", "comment", "comments", "final", "copy", "version", "part", "workbook", "student", "teacher", "2p", "v2", "v3",
+)
+
+
+def file_reviewer(filename: Column, aliases: dict[str, str], generic: tuple[str, ...] = GENERIC_AUTHORS) -> Column:
+    """Reviewer by the name of a file: the first alias that stands in it as
+    words, else what is left without numbers and common words, if that is a
+    full name of up to four words; else ''."""
+    stem = collapse(F.regexp_replace(F.regexp_replace(text(filename), r"\.[^.]*$", ""), r"[_.()\\-]+", " "))
+    words = F.concat(F.lit(" "), F.lower(stem), F.lit(" "))
+    named = F.lit(None).cast("string")
+    if aliases:
+        known = F.array(*[F.struct(F.lit(f" {' '.join(a.split()).lower()} ").alias("alias"), F.lit(" ".join(n.split())).alias("name")) for a, n in aliases.items() if a.strip()])
+        named = F.get(F.filter(known, lambda k: F.contains(words, k["alias"])), F.lit(0))["name"]
+    kept = F.filter(F.split(stem, " "), lambda t: ~F.lower(t).isin(*FILE_WORDS, *generic) & ~t.rlike(r"^\d*$"))
+    left = F.array_join(kept, " ")
+    return F.coalesce(named, F.when(looks_like_full_name(left, generic) & (F.size(kept) <= 4), left), F.lit(""))
+
+
+def reviewer_name(raw: Column, filename: Column, aliases: dict[str, str], explicit: Column | None = None, generic: tuple[str, ...] = GENERIC_AUTHORS) -> Column:
+    """The explicit reviewer if that is a full name, else by alias of the raw
+    author, the raw author if it is a full name, or by the file's name; else ''."""
     by_alias = F.lit(None).cast("string")
-    by_file = F.lit(None).cast("string")
-    words = F.concat(F.lit(" "), F.lower(collapse(F.regexp_replace(F.regexp_replace(text(filename), r"\.[^.]*$", ""), r"[_.()\\-]+", " "))), F.lit(" "))
-    for alias, full in sorted(aliases.items(), reverse=True):
-        by_alias = F.when(key == alias.lower(), F.lit(full)).otherwise(by_alias)
-        by_file = F.when(words.contains(f" {alias.lower()} "), F.lit(full)).otherwise(by_file)
-    return F.coalesce(by_alias, F.when(looks_like_full_name(raw), collapse(raw)), by_file, F.lit(""))
+    if aliases:
+        names = {" ".join(a.split()).lower(): " ".join(n.split()) for a, n in aliases.items()}
+        by_alias = F.nullif(F.try_element_at(F.create_map(*[F.lit(x) for item in names.items() for x in item]), raw_author(raw)), F.lit(""))
+    first = F.when(looks_like_full_name(explicit, generic), collapse(explicit)) if explicit is not None else F.lit(None).cast("string")
+    return F.coalesce(first, by_alias, F.when(looks_like_full_name(raw, generic), collapse(raw)), file_reviewer(filename, aliases, generic))

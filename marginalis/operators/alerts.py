@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,28 +23,48 @@ ALERTS = {
 }
 
 
+# What is said, with the places of columns in braces.
+MESSAGES = {
+    "PDF_PROCESSED": "{file} processed successfully; reviewer={reviewers}; new={inserted}; updated={updated}; unchanged={unchanged}.",
+    "REVIEWER_UNRESOLVED": "Reviewer could not be resolved. Manual reviewer assignment may be required.",
+    "PAGE_MAPPING_UNRESOLVED": "{pages_unresolved} page(s) could not be mapped automatically.",
+    "PAGE_NUMBER_MISMATCH": "{footer_mismatches} page-number mismatch(es) detected.",
+    "MASTER_INDEX_MISMATCH": "Possible master-index mismatch detected; coverage={coverage}; master={master_index_version}.",
+    "PAGES_BEYOND_MASTER": "{pages_beyond_master} page(s) exceed the current master page count.",
+    "NEEDS_REVIEW": "{needs_review} annotation(s) require manual review.",
+}
+
+
 def classify_results(results: DataFrame) -> DataFrame:
     """One to seven alerts per result row, in the order of ALERTS.
 
     ``results`` has file, status, error, reviewers (text, '' for none),
-    inserted, updated, pages_unresolved, footer_mismatches, master_suspect,
-    coverage, pages_beyond_master, needs_review.  A failed file gives its error
-    alone.  One pass: an array of conditional structs, exploded.
+    inserted, updated, unchanged, pages_unresolved, footer_mismatches,
+    master_suspect, coverage, master_index_version, pages_beyond_master,
+    needs_review.  A failed file gives its error alone.  One pass: an array of
+    conditional structs, exploded.
     """
     ok = F.col("status") != "ERROR"
     count = lambda c: F.coalesce(F.col(c), F.lit(0))
-    say = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
-    n = lambda c: count(c).cast("string")
+    shown = {
+        "file": S.text(F.col("file")), "reviewers": F.coalesce(F.nullif(S.text(F.col("reviewers")), F.lit("")), F.lit("unresolved")),
+        "coverage": F.format_string("%.1f%%", F.coalesce(F.col("coverage"), F.lit(0.0)) * 100), "master_index_version": S.text(F.col("master_index_version")),
+    }
+
+    def say(code: str) -> Column:
+        parts = re.split(r"\{(\w+)\}", MESSAGES[code])
+        return F.concat(*[F.lit(p) if i % 2 == 0 else shown[p] if p in shown else count(p).cast("string") for i, p in enumerate(parts)])
+
     conditions = {
-        "PDF_PROCESSING_ERROR": (~ok, S.text(F.col("error"))),
-        "PDF_PROCESSED": (ok, say("reviewer ", F.coalesce(S.blank_null(F.col("reviewers")), F.lit("unresolved")), ": ", n("inserted"), " new, ", n("updated"), " updated")),
-        "REVIEWER_UNRESOLVED": (ok & (S.strip(F.col("reviewers")) == ""), F.lit("no reviewer could be told")),
-        "PAGE_MAPPING_UNRESOLVED": (ok & (count("pages_unresolved") > 0), say(n("pages_unresolved"), " annotations on unmapped pages")),
-        "PAGE_NUMBER_MISMATCH": (ok & (count("footer_mismatches") > 0), say(n("footer_mismatches"), " printed page numbers differ")),
-        "MASTER_INDEX_MISMATCH": (ok & F.coalesce(F.col("master_suspect"), F.lit(False)), say("coverage ", F.format_number(F.coalesce(F.col("coverage"), F.lit(0.0)) * 100, 1), "%")),
-        "PAGES_BEYOND_MASTER": (ok & (count("pages_beyond_master") > 0), say(n("pages_beyond_master"), " pages beyond the master")),
-        "NEEDS_REVIEW": (ok & (count("needs_review") > 0), say(n("needs_review"), " annotations need review")),
+        "PDF_PROCESSED": ok,
+        "REVIEWER_UNRESOLVED": ok & (S.strip(F.col("reviewers")) == ""),
+        "PAGE_MAPPING_UNRESOLVED": ok & (count("pages_unresolved") > 0),
+        "PAGE_NUMBER_MISMATCH": ok & (count("footer_mismatches") > 0),
+        "MASTER_INDEX_MISMATCH": ok & F.coalesce(F.col("master_suspect"), F.lit(False)),
+        "PAGES_BEYOND_MASTER": ok & (count("pages_beyond_master") > 0),
+        "NEEDS_REVIEW": ok & (count("needs_review") > 0),
     }
+    conditions = {"PDF_PROCESSING_ERROR": (~ok, F.coalesce(F.nullif(S.text(F.col("error")), F.lit("")), F.lit("PDF processing failed.")))} | {code: (when, say(code)) for code, when in conditions.items()}
     structs = [
         F.when(
             cond,
@@ -52,6 +75,30 @@ def classify_results(results: DataFrame) -> DataFrame:
     return results.select("file", F.explode(F.array_compact(F.array(*structs))).alias("a")).select("file", "a.*")
 
 
+# Texts of a switch that mean on.
+ON = ("1", "true", "yes", "on")
+
+
+def switched_on(name: str, default: bool = False, environment: dict[str, str] | None = None) -> bool:
+    """A switch of the environment; unset means ``default``."""
+    given = (os.environ if environment is None else environment).get(name)
+    return default if given is None else given.strip().lower() in ON
+
+
+def deliver(rows: DataFrame, send, enabled: bool) -> int:
+    """Hand each notice to ``send`` on the driver, one after the other, and
+    return how many were taken; nothing if notices aren't ``enabled``.  A notice
+    that fails stops neither the others nor the run."""
+    done = 0
+    for row in rows.where(F.size("recipients") > 0).toLocalIterator() if enabled else ():
+        try:
+            send(row.asDict())
+            done += 1
+        except Exception:  # noqa: BLE001  delivery is not part of the result
+            continue
+    return done
+
+
 def notices(alerts: DataFrame, recipients: dict[str, list[str]]) -> DataFrame:
     """Add recipients (by audience, each once), subject and body of a notice."""
     groups = F.map_from_entries(F.array(*[F.struct(F.lit(k), F.array(*map(F.lit, v)).cast("array<string>")) for k, v in recipients.items()]))
@@ -59,6 +106,9 @@ def notices(alerts: DataFrame, recipients: dict[str, list[str]]) -> DataFrame:
         {
             "recipients": F.array_distinct(F.flatten(F.transform(F.col("audience"), lambda a: F.coalesce(F.try_element_at(groups, a), F.array().cast("array<string>"))))),
             "subject": F.concat(F.lit("["), F.col("severity"), F.lit("] "), F.col("code"), F.lit(" - "), F.col("file")),
-            "body": F.concat_ws("\n", F.concat(F.lit("File: "), F.col("file")), F.concat(F.lit("Code: "), F.col("code")), F.col("message"), F.when(F.col("pm_actionable"), "Action is needed.")),
+            "body": F.concat_ws(
+                "\n", F.concat(F.lit("Severity: "), F.col("severity")), F.concat(F.lit("Code: "), F.col("code")), F.concat(F.lit("PDF: "), F.col("file")), F.lit(""), F.col("message"), F.lit(""),
+                F.concat(F.lit("Manual action required: "), F.when(F.col("pm_actionable"), "Yes").otherwise("No")),
+            ),
         }
     )

@@ -15,6 +15,21 @@ def needs_review(reviewer: Column, book_page: Column, footer_status: Column) ->
     return (S.strip(reviewer) == "") | (S.strip(book_page) == "") | (S.strip(footer_status) == "footer_mismatch")
 
 
+def source_state(reviewer: Column, book_page: Column, footer_status: Column) -> Column:
+    return F.when(needs_review(reviewer, book_page, footer_status), "NEEDS_REVIEW").otherwise("CURRENT")
+
+
+def issue_text(reviewer: Column, book_page: Column, footer_status: Column) -> Column:
+    """What a person must look at, joined by '; '."""
+    found = F.concat_ws(
+        "; ",
+        F.when(S.strip(reviewer) == "", "REVIEWER_UNRESOLVED"),
+        F.when(S.strip(book_page) == "", "PAGE_UNRESOLVED"),
+        F.when(S.strip(footer_status) == "footer_mismatch", "PAGE_NUMBER_MISMATCH"),
+    )
+    return F.coalesce(F.nullif(found, F.lit("")), F.lit("REVIEW_REQUIRED"))
+
+
 def visible_rows(annotations: DataFrame, link: Column) -> DataFrame:
     """The reviewer's view of annotations; the id is the native one, else the
     identity key."""
@@ -66,26 +81,24 @@ def match_output(desired: DataFrame, stored: DataFrame) -> DataFrame:
     )
 
 
-def merge_fields(matched: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows to write: resolved and replies always from the stored row, category
+def merge_fields(matched: DataFrame, stored: DataFrame, keep_columns: list[str] | None = None) -> DataFrame:
+    """Rows to write, with ``keep_columns`` of the desired ones: resolved and replies always from the stored row, category
     and annotation type from it where the desired one is blank."""
     s = stored.select(F.col("row_no").alias("stored_id"), *[F.col(c).alias(f"s_{c}") for c in ("category", "resolved", "replies", "annotation_type")])
     j = matched.join(s, "stored_id", "left")
     keep = lambda c: F.coalesce(S.blank_null(F.col(c)), S.text(F.col(f"s_{c}")))
     values = {"resolved": S.text(F.col("s_resolved")), "replies": S.text(F.col("s_replies")), "category": keep("category"), "annotation_type": keep("annotation_type")}
-    return j.select("stored_id", "match", *[values.get(c, F.col(c)).alias(c) for c in VISIBLE])
+    return j.select("stored_id", "match", *(keep_columns or []), *[values.get(c, F.col(c)).alias(c) for c in VISIBLE])
 
 
 def review_issues(annotations: DataFrame) -> DataFrame:
-    """Annotations that need review, with their issues joined by '; '."""
-    issue = F.concat_ws(
-        "; ",
-        F.when(S.strip(F.col("reviewer")) == "", "REVIEWER_UNRESOLVED"),
-        F.when(S.strip(F.col("book_page")) == "", "PAGE_UNRESOLVED"),
-        F.when(S.strip(F.col("footer_status")) == "footer_mismatch", "PAGE_NUMBER_MISMATCH"),
+    """Annotations that need review, with their issues joined by '; '; the
+    printed page goes before the mapped one."""
+    state = [F.col(c) for c in ("reviewer", "book_page", "footer_status")]
+    return annotations.where(needs_review(*state)).select(
+        "source_file", issue_text(*state).alias("issue_type"), S.text(F.col("raw_author")).alias("raw_author"), "pdf_page",
+        F.coalesce(S.blank_null(F.col("footer_page_candidate")), S.text(F.col("book_page"))).alias("book_page_candidate"), S.text(F.col("comment")).alias("comment"),
     )
-    rows = annotations.where(needs_review(F.col("reviewer"), F.col("book_page"), F.col("footer_status")))
-    return rows.select("source_file", F.coalesce(F.nullif(issue, F.lit("")), F.lit("REVIEW_REQUIRED")).alias("issue_type"), S.text(F.col("raw_author")).alias("raw_author"), "pdf_page", F.coalesce(S.blank_null(F.col("book_page")), S.text(F.col("footer_page_candidate"))).alias("book_page_candidate"), S.text(F.col("comment")).alias("comment"))
 
 
 def new_issues(issues: DataFrame, stored: DataFrame, keys: tuple[str, str, str] = ("source_file", "pdf_page", "comment")) -> DataFrame:
@@ -93,15 +106,40 @@ def new_issues(issues: DataFrame, stored: DataFrame, keys: tuple[str, str, str]
     return issues.join(stored.select(*keys).distinct(), list(keys), "left_anti").select(*issues.columns)
 
 
-#: A layout of a reviewer's table: its header, and for each column of the
-#: current one the index in the old row, or None for a new one.
-Layout = tuple[tuple[str, ...], tuple[int | None, ...]]
+# What a reviewer's table is headed by.
+HEADER = ("PDF Name", "PDF Drive Link", "Page", "Comment", "Category", "Author", "Created Date", "Last Modified", "Resolved?", "Replies", "Comment ID", "Annotation Type")
 
+#: A known layout: its name, what its header says at which place (None: it is
+#: blank), and for each column of the current one the place in the old row, or
+#: None for a new column.
+Layout = tuple[str, dict[int, str | None], tuple[int | None, ...]]
 
-def migrate_layout(rows: DataFrame, header: tuple[str, ...], layouts: list[Layout], target: tuple[str, ...] = VISIBLE) -> DataFrame:
-    """Rows of any known layout in the current one.  ``rows`` has one array
-    column ``cells``, short rows count as padded; an unknown header fails."""
-    for known, order in [(target, tuple(range(len(target)))), *layouts]:
-        if tuple(header) == known:
-            return rows.select(*[(F.lit("") if i is None else F.coalesce(F.get("cells", F.lit(i)), F.lit(""))).alias(c) for c, i in zip(target, order, strict=True)])
+_SAME = tuple(range(12))
+
+# Layouts that such tables had, in the order in which they are tried.
+LAYOUTS: tuple[Layout, ...] = (
+    ("CANONICAL", dict(enumerate(HEADER)), _SAME),
+    ("MIGRATED_ANNOTATION_TYPE_E", {4: "Annotation Type", 5: "Author", 10: "Comment ID", 11: None}, (0, 1, 2, 3, None, 5, 6, 7, 8, 9, 10, 4)),
+    ("MIGRATED_CATEGORY_TYPE_HEADER", {4: "Type", 5: "Author", 10: "Comment ID", 11: None}, _SAME),
+    ("MIGRATED_CATEGORY_BLANK_HEADER", {4: None, 5: "Author", 10: "Comment ID", 11: None}, _SAME),
+    ("MIGRATED_ELEVEN_COLUMNS", {4: "Author", 9: "Comment ID", 10: "Type"}, (0, 1, 2, 3, None, 4, 5, 6, 7, 8, 9, 10)),
+    ("MIGRATED_TYPE_HEADER", {4: None, 5: "Author", 10: "Comment ID", 11: "Type"}, _SAME),
+)
+
+
+def layout_of(header: tuple[str, ...], layouts: tuple[Layout, ...] = LAYOUTS) -> Layout:
+    """The layout a header belongs to; its first four names are always those
+    of the current one.  Fails for an unknown one."""
+    cells = [str(c or "") for c in header] + [""] * 12
+    for layout in layouts:
+        says = dict(enumerate(HEADER[:4])) | layout[1]
+        if all(cells[i] == name if name else not cells[i].strip() for i, name in says.items()):
+            return layout
     raise ValueError(f"unknown table layout: {header}")
+
+
+def migrate_layout(rows: DataFrame, header: tuple[str, ...], layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """Rows of any known layout in the current one.  ``rows`` has one array
+    column ``cells``; short rows count as padded, an unknown header fails."""
+    order = layout_of(header, layouts)[2]
+    return rows.select(*[(F.lit("") if i is None else F.coalesce(F.get("cells", F.lit(i)), F.lit(""))).alias(c) for c, i in zip(VISIBLE, order, strict=True)])

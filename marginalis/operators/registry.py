@@ -87,11 +87,39 @@ def upsert_plan(desired: DataFrame, stored: DataFrame, key: str, update: bool) -
 
 
 def log_message(rows: DataFrame) -> DataFrame:
-    """Add message: what a file's processing found, as short parts joined by '; '."""
-    part = lambda name, word: F.when(F.coalesce(F.col(name), F.lit(0)) > 0, F.concat(F.col(name).cast("string"), F.lit(f" {word}")))
+    """Add message: what there is to say of a processed file, joined by '; '.
+
+    ``rows`` has the numbers pages_mapped, pages, skipped, pages_unresolved,
+    footer_mismatches and pages_beyond_master, the flag
+    master_mismatch_suspected, and the texts master_index_version and error.
+    Nothing is said of null, 0, false or an empty text, but pages_mapped is
+    given unless it is null.
+    """
+    n = lambda c: F.col(c).cast("string")
+    counted = lambda c, words: F.when(F.coalesce(F.col(c), F.lit(0)) > 0, F.concat(n(c), F.lit(f" {words}")))
     return rows.withColumn(
         "message",
         F.concat_ws(
-            "; ", part("new_count", "new"), part("updated_count", "updated"), part("unchanged_count", "unchanged"), part("skipped_empty", "skipped empty"), S.blank_null(F.col("message_error"))
+            "; ",
+            F.when(F.col("pages_mapped").isNotNull(), F.concat(n("pages_mapped"), F.lit("/"), F.coalesce(n("pages"), F.lit("0")), F.lit(" pages mapped"))),
+            counted("skipped", "empty annotations skipped"),
+            counted("pages_unresolved", "unresolved pages"),
+            counted("footer_mismatches", "footer mismatches"),
+            counted("pages_beyond_master", "pages beyond master"),
+            F.when(F.coalesce(F.col("master_mismatch_suspected"), F.lit(False)), "possible master-index mismatch"),
+            F.concat(F.lit("master="), F.nullif(S.text(F.col("master_index_version")), F.lit(""))),
+            F.nullif(S.text(F.col("error")), F.lit("")),
         ),
     )
+
+
+def registry_rows(files: DataFrame, now: str) -> DataFrame:
+    """Processed files as rows of the registry: what ``log_message`` takes, and
+    file_id, name, link, modified_time, size_bytes, sha256, reviewers (an
+    array), status, annotations_found, inserted, updated and unchanged."""
+    count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("int")
+    return log_message(files).select(
+        F.col("file_id").alias("drive_file_id"), F.col("name").alias("pdf_name"), S.text(F.col("link")).alias("drive_link"), S.text(F.col("modified_time")).alias("modified_time"), F.coalesce("size_bytes", F.lit(0)).cast("long").alias("size_bytes"),
+        S.text(F.col("sha256")).alias("pdf_sha256"), F.array_join(F.coalesce("reviewers", F.array().cast("array<string>")), ", ").alias("reviewer"), "status", count("pages").alias("pages"), count("annotations_found").alias("annotations_found"),
+        count("inserted").alias("new_count"), count("updated").alias("updated_count"), count("unchanged").alias("unchanged_count"), count("skipped").alias("skipped_empty"), F.lit(now).alias("processed_at"), F.col("message").alias("message_error"),
+    )

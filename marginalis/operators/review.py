@@ -13,7 +13,7 @@ SAMPLE_IDS, SAMPLE_PAGES, SAMPLE_CONTENTS, CONTENT_LENGTH = 5, 8, 3, 160
 KEY = ["document_key", "version_id", "raw_author"]
 
 
-def _first_values(rows: DataFrame, value: str, order: list[str], most: int, out: str) -> DataFrame:
+def _first_values(rows: DataFrame, value: str, order: list[str], most: int, out: str, between: str) -> DataFrame:
     """Per key the first ``most`` distinct values in encounter order, joined.
 
     Values are made distinct with map-side combine, and a rank limit is applied
@@ -21,24 +21,29 @@ def _first_values(rows: DataFrame, value: str, order: list[str], most: int, out:
     """
     first = rows.where(S.strip(F.col(value)) != "").groupBy(*KEY, F.col(value).alias("_v")).agg(F.min(F.struct(*order)).alias("_at"))
     ranked = first.withColumn("_r", F.row_number().over(Window.partitionBy(*KEY).orderBy("_at", "_v"))).where(F.col("_r") <= most)
-    return ranked.groupBy(*KEY).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "_v"))), lambda x: x["_v"].cast("string")), " | ").alias(out))
+    return ranked.groupBy(*KEY).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "_v"))), lambda x: x["_v"].cast("string")), between).alias(out))
 
 
 def review_queue(entries: DataFrame, order: list[str]) -> DataFrame:
     """One row per (document, version, raw author as typed) with unresolved
     entries: how many, and the first few ids, pages and contents in ``order``.
 
-    Contents are cut to their sample length before they are made distinct.
+    A page is the book page, else the number of the file's page; a content is
+    the entry's, else its comment, where there is such a column.  Contents are
+    cut to their sample length before they are made distinct.
     """
-    open_ = entries.where(F.coalesce(F.col("author_status"), F.lit("")) != "RESOLVED").select(
-        S.text(F.col("document_key")).alias("document_key"), S.text(F.col("version_id")).alias("version_id"), S.text(F.col("raw_author")).alias("raw_author"),
-        "entry_id", S.text(F.col("book_page")).alias("book_page"), F.substring(S.collapse(F.col("content")), 1, CONTENT_LENGTH).alias("content"),
+    has = lambda c: F.nullif(S.text(F.col(c)), F.lit("")) if c in entries.columns else F.lit(None).cast("string")
+    open_ = entries.where(F.upper(S.strip(F.col("author_status"))) != "RESOLVED").select(
+        S.strip(F.col("document_key")).alias("document_key"), S.strip(F.col("version_id")).alias("version_id"), S.text(F.col("raw_author")).alias("raw_author"),
+        S.strip(F.col("entry_id")).alias("entry_id"), S.strip(F.coalesce(has("book_page"), F.nullif(has("pdf_page"), F.lit("0")))).alias("page"),
+        F.substring(S.strip(F.coalesce(has("content"), has("comment"))), 1, CONTENT_LENGTH).alias("content"),
         *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
     )
     by = [f"_o{i}" for i in range(len(order))]
     out = open_.groupBy(*KEY).agg(F.count("*").alias("entry_count"))
-    for value, most, name in (("entry_id", SAMPLE_IDS, "sample_entry_ids"), ("book_page", SAMPLE_PAGES, "sample_pages"), ("content", SAMPLE_CONTENTS, "sample_content")):
-        out = out.join(_first_values(open_, value, by, most, name), KEY, "left").withColumn(name, F.coalesce(name, F.lit("")))
+    samples = (("entry_id", SAMPLE_IDS, "sample_entry_ids", ", "), ("page", SAMPLE_PAGES, "sample_pages", ", "), ("content", SAMPLE_CONTENTS, "sample_content", " | "))
+    for value, most, name, between in samples:
+        out = out.join(_first_values(open_, value, by, most, name, between), KEY, "left").withColumn(name, F.coalesce(name, F.lit("")))
     return out.select(F.concat_ws("::", *KEY).alias("review_key"), *KEY, "entry_count", "sample_entry_ids", "sample_pages", "sample_content")
 
 

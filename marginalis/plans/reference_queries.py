@@ -11,16 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import alerts, authors, changes, output, pages, registry, review
+from ..operators import alerts, authors, changes, output, pages, registry, review, summaries
 from ..operators.hierarchy import resolve_threads
 from ..session import table
-from .change_queries import THREADS
+from .change_queries import THREADS, union_all
 
 QUERIES, ORACLES = {}, {}
 
 #: In DuckDB: white space evened out, as scalars.collapse does for ASCII space.
 _WS = r"trim(regexp_replace(coalesce({0}, ''), '[\s\xA0\x{{2000}}-\x{{200a}}\x{{202f}}\x{{205f}}\x{{3000}}\x{{1680}}\x{{85}}\x{{2028}}\x{{2029}}\x{{0b}}]+', ' ', 'g'))"
 ws = _WS.format
+_SPACE = _WS[_WS.index("'[") + 2 : _WS.index("]+'")]
+_STRIP = "regexp_replace(coalesce({0}, ''), '^[" + _SPACE + "]+|[" + _SPACE + "]+$', '', 'g')"
+stripped = _STRIP.format
 
 
 def query(oracle: str | None = None):
@@ -126,30 +129,26 @@ def q07_thread_roots(spark: SparkSession, d: str) -> DataFrame:
     return resolve_threads(table(spark, d, "annotations"), is_child=F.col("relation_type") == "REPLY").select("scope", "node", "status", "root", "depth")
 
 
-_SUMMARY = """select source_sha256, count(*) as entries_found, count(*) filter (where relation_type = 'ROOT') as roots,
- count(*) filter (where relation_type = 'REPLY') as replies, count(*) filter (where relation_type = 'GROUP') as groups_found,
- count(*) filter (where import_candidate) as import_candidates, max(reply_depth) as max_depth,
- coalesce(array_to_string(list_sort(list(distinct reviewer) filter (where trim(reviewer) <> '')), '; '), '') as reviewers,
- count(*) filter (where coalesce(trim(book_page), '') = '') as pages_unresolved,
- count(*) filter (where mapping_method like '%footer_mismatch') as footer_mismatches
+_LIST = "array_to_string(list_transform(list_sort(list(distinct {0}) filter (where {1})), lambda x: {2}), ', ')"
+_SUMMARY = f"""select source_sha256, count(*) as entries_found, count(*) filter (where import_candidate) as import_candidates, count(*) filter (where not coalesce(import_candidate, false)) as skipped,
+ count(*) filter (where relation_type = 'ROOT') as root_relations, count(*) filter (where relation_type = 'REPLY') as reply_relations, count(*) filter (where relation_type = 'GROUP') as group_relations,
+ count(*) filter (where entry_type = 'COMMENT') as comments_found, count(*) filter (where entry_type = 'REPLY') as replies_found, coalesce(max(reply_depth), 0) as max_reply_depth,
+ coalesce({_LIST.format(stripped('reviewer'), stripped('reviewer') + " <> ''", 'x')}, '') as reviewers,
+ coalesce({_LIST.format(f"struct_pack(k := lower({stripped('raw_author')}), v := {stripped('raw_author')})", stripped('raw_author') + " <> ''", 'x.v')}, '') as raw_authors,
+ coalesce({_LIST.format(f"struct_pack(t := not regexp_full_match({stripped('book_page')}, '[0-9]{{1,18}}'), n := coalesce(try_cast({stripped('book_page')} as bigint), 0), v := {stripped('book_page')})", stripped('book_page') + " <> ''", 'x.v')}, '') as book_pages,
+ coalesce({_LIST.format('pdf_page', stripped('book_page') + " = ''", 'cast(x as varchar)')}, '') as pages_unresolved,
+ coalesce({_LIST.format('pdf_page', "footer_status = 'footer_mismatch'", 'cast(x as varchar)')}, '') as footer_mismatches
 from """
 
 
 def _summary(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("source_sha256").agg(
-        F.count("*").alias("entries_found"),
-        *[F.count_if(F.col("relation_type") == r).alias(n) for r, n in (("ROOT", "roots"), ("REPLY", "replies"), ("GROUP", "groups_found"))],
-        F.count_if(F.col("import_candidate")).alias("import_candidates"),
-        F.max("reply_depth").alias("max_depth"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.trim("reviewer") != "", F.col("reviewer")))), "; ").alias("reviewers"),
-        F.count_if(F.coalesce(F.trim("book_page"), F.lit("")) == "").alias("pages_unresolved"),
-        F.count_if(F.col("mapping_method").like("%footer_mismatch")).alias("footer_mismatches"),
-    )
+    return summaries.file_summary(rows, ["source_sha256"])
 
 
 @query(f"{_SUMMARY}{_ONE_ANNOTATION} group by 1")
 def q08_extraction_summary(spark: SparkSession, d: str) -> DataFrame:
-    return _summary(table(spark, d, "annotations").distinct())
+    s = _summary(table(spark, d, "annotations").distinct())
+    return s.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ", ") for c, kind in s.dtypes if kind.startswith("array")})
 
 
 @query(
@@ -157,8 +156,7 @@ def q08_extraction_summary(spark: SparkSession, d: str) -> DataFrame:
  select source_sha256, skip_reason, count(*) as n from {_ONE_ANNOTATION} where skip_reason <> '' group by 1, 2) group by 1"""
 )
 def q08b_skipped_by_reason(spark: SparkSession, d: str) -> DataFrame:
-    counts = table(spark, d, "annotations").distinct().where("skip_reason <> ''").groupBy("source_sha256", "skip_reason").count()
-    return counts.groupBy("source_sha256").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("skip_reason", "count")))).alias("skipped"))
+    return summaries.skipped_by_reason(table(spark, d, "annotations").distinct(), ["source_sha256"])
 
 
 def _entries(spark: SparkSession, d: str) -> DataFrame:
@@ -166,7 +164,7 @@ def _entries(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _rules(spark: SparkSession, d: str) -> DataFrame:
-    """Rules of four scopes as the stored entries imply them."""
+    """Rules of five scopes as the stored entries imply them."""
     e = table(spark, d, "entries").where("author_status = 'RESOLVED' and trim(canonical_author) <> ''")
 
     def make(scope: str, keys: list[str], rows: DataFrame) -> DataFrame:
@@ -178,6 +176,7 @@ def _rules(spark: SparkSession, d: str) -> DataFrame:
 
     return (
         make("ENTRY", ["document_key", "entry_id"], e.where("category = 'Typo'"))
+        .unionByName(make("THREAD", ["document_key", "root_entry_id"], e.where("trim(root_entry_id) <> '' and relation_type = 'REPLY'")))
         .unionByName(make("VERSION", ["version_id", "raw_author"], e.where("category = 'Art'")))
         .unionByName(make("DOCUMENT_RAW", ["document_key", "raw_author"], e.where("author_resolution_method = 'DOCUMENT_RAW'")))
         .unionByName(make("GLOBAL_ALIAS", ["raw_author"], e.where("author_resolution_method = 'GLOBAL_ALIAS'")))
@@ -188,23 +187,25 @@ _RAW = f"(case when lower({ws('raw_author')}) in ('', 'user', 'reviewer', 'autho
 _GENERIC = f"lower({ws('raw_author')}) in ('', 'user', 'reviewer', 'author', 'unknown', 'anonymous', 'admin')"
 _RESOLVED = f"""e0 as (select * from entries where author_status = 'RESOLVED' and trim(canonical_author) <> ''),
 r0 as (
- select 1 as p, 'ENTRY' as scope, 'ENTRY::' || document_key || '::' || entry_id as rule_id, document_key, '' as version_id, entry_id, '' as raw_author, min(canonical_author) as author from e0 where category = 'Typo' group by document_key, entry_id
- union all select 3, 'VERSION', 'VERSION::' || version_id || '::' || raw_author, '', version_id, '', raw_author, min(canonical_author) from e0 where category = 'Art' group by version_id, raw_author
- union all select 4, 'DOCUMENT_RAW', 'DOCUMENT_RAW::' || document_key || '::' || raw_author, document_key, '', '', raw_author, min(canonical_author) from e0 where author_resolution_method = 'DOCUMENT_RAW' group by document_key, raw_author
- union all select 5, 'GLOBAL_ALIAS', 'GLOBAL_ALIAS::' || raw_author, '', '', '', raw_author, min(canonical_author) from e0 where author_resolution_method = 'GLOBAL_ALIAS' group by raw_author),
+ select 1 as p, 'ENTRY' as scope, 'ENTRY::' || document_key || '::' || entry_id as rule_id, document_key, '' as version_id, entry_id, '' as raw_author, '' as root_entry_id, min(canonical_author) as author from e0 where category = 'Typo' group by document_key, entry_id
+ union all select 2, 'THREAD', 'THREAD::' || document_key || '::' || root_entry_id, document_key, '', '', '', root_entry_id, min(canonical_author) from e0 where trim(root_entry_id) <> '' and relation_type = 'REPLY' group by document_key, root_entry_id
+ union all select 3, 'VERSION', 'VERSION::' || version_id || '::' || raw_author, '', version_id, '', raw_author, '', min(canonical_author) from e0 where category = 'Art' group by version_id, raw_author
+ union all select 4, 'DOCUMENT_RAW', 'DOCUMENT_RAW::' || document_key || '::' || raw_author, document_key, '', '', raw_author, '', min(canonical_author) from e0 where author_resolution_method = 'DOCUMENT_RAW' group by document_key, raw_author
+ union all select 5, 'GLOBAL_ALIAS', 'GLOBAL_ALIAS::' || raw_author, '', '', '', raw_author, '', min(canonical_author) from e0 where author_resolution_method = 'GLOBAL_ALIAS' group by raw_author),
 r as (select *, {_RAW} as rk from r0 where not (scope = 'GLOBAL_ALIAS' and {_GENERIC})),
-e as (select distinct * from entries), k as (select distinct document_key, version_id, entry_id, raw_author, {_RAW} as rk from e),
+e as (select distinct * from entries), k as (select distinct document_key, version_id, entry_id, root_entry_id, raw_author, {_RAW} as rk from e),
 c as (
  select k.*, r.p, r.scope, r.rule_id, r.author from k join r on r.scope = 'ENTRY' and r.document_key = trim(k.document_key) and r.entry_id = trim(k.entry_id)
+ union all select k.*, r.p, r.scope, r.rule_id, r.author from k join r on r.scope = 'THREAD' and r.document_key = trim(k.document_key) and trim(r.root_entry_id) = trim(k.root_entry_id)
  union all select k.*, r.p, r.scope, r.rule_id, r.author from k join r on r.scope = 'VERSION' and trim(r.version_id) = trim(k.version_id) and r.rk = k.rk
  union all select k.*, r.p, r.scope, r.rule_id, r.author from k join r on r.scope = 'DOCUMENT_RAW' and r.document_key = trim(k.document_key) and r.rk = k.rk
  union all select k.*, r.p, r.scope, r.rule_id, r.author from k join r on r.scope = 'GLOBAL_ALIAS' and r.rk = k.rk),
-b as (select * from (select *, row_number() over (partition by document_key, version_id, entry_id, raw_author order by p, rule_id) as rn from c) where rn = 1),
+b as (select * from (select *, row_number() over (partition by document_key, version_id, entry_id, root_entry_id, raw_author order by p, rule_id) as rn from c) where rn = 1),
 z as (select e.document_key, e.version_id, e.entry_id, e.raw_author, e.last_seen, e.entry_signature, coalesce(trim(b.author), '') as canonical_author,
  case when b.p is null then 'UNRESOLVED' else 'RESOLVED' end as author_status,
  coalesce(b.scope, case when {_GENERIC.replace('raw_author', 'e.raw_author')} then 'GENERIC_RAW_UNRESOLVED' else 'DISTINCTIVE_RAW_UNMAPPED' end) as author_resolution_method,
  coalesce(b.rule_id, '') as author_rule_id
- from e left join b on b.document_key = e.document_key and b.version_id = e.version_id and b.entry_id = e.entry_id and b.raw_author is not distinct from e.raw_author)"""
+ from e left join b on b.document_key = e.document_key and b.version_id = e.version_id and b.entry_id = e.entry_id and b.root_entry_id is not distinct from e.root_entry_id and b.raw_author is not distinct from e.raw_author)"""
 
 
 def _resolved(spark: SparkSession, d: str) -> DataFrame:
@@ -226,18 +227,23 @@ def q10_author_summary(spark: SparkSession, d: str) -> DataFrame:
     return authors.author_summary(_resolved(spark, d), ["document_key"])
 
 
+_AUTHOR = ("canonical_author", "author_status")
 _FIELDS = ("raw_author", "pdf_page", "book_page", "annotation_type", "relation_type", "content", "selected_text")
 
 
 def _current(spark: SparkSession, d: str) -> DataFrame:
     """The newest state of each entry: the extractor's rows."""
-    a = table(spark, d, "annotations").select("document_key", F.trim("entry_id").alias("entry_id"), F.concat(S.text(F.col("document_key")), F.lit("@"), S.text(F.col("source_sha256"))).alias("version_id"), *[F.col("comment" if f == "content" else f).alias(f) for f in _FIELDS])
+    reviewer = S.strip(F.col("reviewer"))
+    a = table(spark, d, "annotations").select(
+        "document_key", F.trim("entry_id").alias("entry_id"), F.concat(S.text(F.col("document_key")), F.lit("@"), S.text(F.col("source_sha256"))).alias("version_id"), *[F.col("comment" if f == "content" else f).alias(f) for f in _FIELDS],
+        reviewer.alias("canonical_author"), F.when(reviewer == "", "UNRESOLVED").otherwise("RESOLVED").alias("author_status"),
+    )
     return _unique(a.withColumn("entry_signature", S.entry_signature(*[F.col(f) for f in _FIELDS])))
 
 
 def _stored(spark: SparkSession, d: str) -> DataFrame:
     """The stored state: the last row of each entry by last_seen."""
-    e = table(spark, d, "entries").select("document_key", F.trim("entry_id").alias("entry_id"), F.col("version_id"), *_FIELDS, "active", "first_seen", "last_seen")
+    e = table(spark, d, "entries").select("document_key", F.trim("entry_id").alias("entry_id"), F.col("version_id"), *_FIELDS, "active", "first_seen", "last_seen", *_AUTHOR)
     e = e.withColumn("entry_signature", S.entry_signature(*[F.col(f) for f in _FIELDS]))
     rest = [c for c in e.columns if c not in ("document_key", "entry_id", "last_seen")]
     return e.groupBy("document_key", "entry_id").agg(F.max(F.struct("last_seen", "entry_signature", *[c for c in rest if c != "entry_signature"])).alias("r")).select("document_key", "entry_id", "r.*")
@@ -251,19 +257,20 @@ def _unique(df: DataFrame) -> DataFrame:
 _T = lambda c: f"coalesce(cast({c} as varchar), '')"
 _SIG_C = "sha256(to_json({" + ", ".join(f"'f{i:02d}': {_T('comment' if f == 'content' else f)}" for i, f in enumerate(_FIELDS)) + "}))"
 _SIG_S = "sha256(to_json({" + ", ".join(f"'f{i:02d}': {_T(f)}" for i, f in enumerate(_FIELDS)) + "}))"
-_PLAN = f"""cur as (select * from (select *, row_number() over (partition by document_key, entry_id order by entry_signature desc, version_id desc) as rn from (
-  select document_key, trim(entry_id) as entry_id, coalesce(document_key, '') || '@' || coalesce(source_sha256, '') as version_id, raw_author, {_SIG_C} as entry_signature from annotations)) where rn = 1),
-sto as (select * from (select *, row_number() over (partition by document_key, entry_id order by last_seen desc, entry_signature desc, version_id desc, active desc) as rn from (
-  select document_key, trim(entry_id) as entry_id, version_id, raw_author, {_SIG_S} as entry_signature, active, first_seen, last_seen from entries)) where rn = 1),
+_PLAN = f"""cur as (select * from (select *, row_number() over (partition by document_key, entry_id order by entry_signature desc, version_id desc, canonical_author desc) as rn from (
+  select document_key, trim(entry_id) as entry_id, coalesce(document_key, '') || '@' || coalesce(source_sha256, '') as version_id, raw_author, {stripped('reviewer')} as canonical_author, case when {stripped('reviewer')} = '' then 'UNRESOLVED' else 'RESOLVED' end as author_status, {_SIG_C} as entry_signature from annotations)) where rn = 1),
+sto as (select * from (select *, row_number() over (partition by document_key, entry_id order by last_seen desc, entry_signature desc, version_id desc, active desc, first_seen desc, canonical_author desc, author_status desc) as rn from (
+  select document_key, trim(entry_id) as entry_id, version_id, raw_author, canonical_author, author_status, {_SIG_S} as entry_signature, active, first_seen, last_seen from entries)) where rn = 1),
 plan as (select * from (select coalesce(c.document_key, p.document_key) as document_key, coalesce(c.entry_id, p.entry_id) as entry_id,
   case when p.entry_id is null then 'NEW' when c.entry_id is null then case when p.active then 'REMOVED' end when not coalesce(p.active, false) then 'UPDATED'
-   when c.entry_signature <> p.entry_signature then 'UPDATED' else 'UNCHANGED' end as change_type,
+   when c.entry_signature <> p.entry_signature then 'UPDATED' when c.canonical_author <> {stripped('p.canonical_author')} or c.author_status <> {stripped('p.author_status')} then 'AUTHOR_UPDATED' else 'UNCHANGED' end as change_type,
+  c.canonical_author as c_author, p.canonical_author as p_author, c.author_status as c_status, p.author_status as p_status,
   c.version_id as c_version, p.version_id as p_version, c.entry_signature as c_sig, p.entry_signature as p_sig, c.raw_author as c_raw, p.raw_author as p_raw, p.first_seen as first_seen
  from cur c full join sto p on c.document_key = p.document_key and c.entry_id = p.entry_id) where change_type is not null)"""
 
 
 def _plan(spark: SparkSession, d: str) -> DataFrame:
-    return changes.change_plan(_current(spark, d), _stored(spark, d))
+    return changes.change_plan(_current(spark, d), _stored(spark, d), author_fields=_AUTHOR)
 
 
 @query(f"with {_PLAN} select document_key, entry_id, change_type from plan")
@@ -280,19 +287,20 @@ def q11b_change_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 _NOW = "2026-01-01T00:00:00Z"
-_COLUMNS = ["document_key", "entry_id", "version_id", "raw_author", "entry_signature"]
+_COLUMNS = ["document_key", "entry_id", "version_id", "raw_author", "entry_signature", *_AUTHOR]
 
 
 @query(
     f"""with {_PLAN} select case change_type when 'NEW' then 'insert' when 'REMOVED' then 'deactivate' else 'update' end as write, document_key, entry_id,
  case when change_type = 'REMOVED' then p_version else c_version end as version_id, case when change_type = 'REMOVED' then p_sig else c_sig end as entry_signature,
+ case when change_type = 'REMOVED' then p_author else c_author end as canonical_author, case when change_type = 'REMOVED' then p_status else c_status end as author_status,
  change_type <> 'REMOVED' as active, case when change_type = 'REMOVED' then 'HISTORICAL' else 'CURRENT' end as source_state,
  case when change_type = 'NEW' then '{_NOW}' else coalesce(nullif(trim(first_seen), ''), '{_NOW}') end as first_seen, '{_NOW}' as last_seen
 from plan where change_type <> 'UNCHANGED'"""
 )
 def q12_mutations(spark: SparkSession, d: str) -> DataFrame:
     m = changes.mutations(_plan(spark, d), _NOW, _COLUMNS)
-    names = ["document_key", "entry_id", "version_id", "entry_signature", "active", "source_state", "first_seen", "last_seen"]
+    names = ["document_key", "entry_id", "version_id", "entry_signature", *_AUTHOR, "active", "source_state", "first_seen", "last_seen"]
     out = None
     for write, rows in (("insert", m.inserts), ("update", m.updates), ("deactivate", m.deactivations)):
         part = rows.select(F.lit(write).alias("write"), *names)
@@ -304,7 +312,7 @@ def q12_mutations(spark: SparkSession, d: str) -> DataFrame:
     f"""with {_PLAN}, h as (select *, change_type = 'REMOVED' as gone from plan where change_type <> 'UNCHANGED')
 select document_key || '::' || entry_id || '::' || case when gone then p_version else c_version end || '::' || change_type as history_key, document_key, entry_id, change_type,
  case when gone then p_sig else c_sig end as entry_signature, coalesce(p_sig, '') as previous_signature, case when gone then p_version else c_version end as version_id,
- case when gone then p_raw else c_raw end as raw_author, not gone as active, case when gone then 'HISTORICAL' else 'CURRENT' end as source_state, '{_NOW}' as recorded_at from h"""
+ case when gone then p_raw else c_raw end as raw_author, case when gone then p_author else c_author end as canonical_author, case when gone then p_status else c_status end as author_status, not gone as active, case when gone then 'HISTORICAL' else 'CURRENT' end as source_state, '{_NOW}' as recorded_at from h"""
 )
 def q13_history(spark: SparkSession, d: str) -> DataFrame:
     return changes.history_rows(_plan(spark, d), _NOW, _COLUMNS)
@@ -313,15 +321,16 @@ def q13_history(spark: SparkSession, d: str) -> DataFrame:
 _ORDER = ["pdf_page", "xref", "entry_id"]
 
 
-def _samples(value: str, most: int, name: str) -> str:
-    return f"""{name} as (select document_key, version_id, raw_author, array_to_string(list(v order by r), ' | ') as {name} from (
+def _samples(value: str, most: int, name: str, between: str) -> str:
+    return f"""{name} as (select document_key, version_id, raw_author, array_to_string(list(v order by r), '{between}') as {name} from (
  select *, row_number() over (partition by document_key, version_id, raw_author order by seen, v) as r from (
   select document_key, version_id, raw_author, {value} as v, min(struct_pack(a := coalesce(pdf_page, -1), b := coalesce(xref, -1), c := entry_id)) as seen from o where trim({value}) <> '' group by 1, 2, 3, 4)) where r <= {most} group by 1, 2, 3)"""
 
 
-_QUEUE = f"""o as (select coalesce(document_key, '') as document_key, coalesce(version_id, '') as version_id, coalesce(raw_author, '') as raw_author, entry_id, coalesce(book_page, '') as book_page,
- left({ws('content')}, 160) as content, pdf_page, xref from (select distinct * from entries) where coalesce(author_status, '') <> 'RESOLVED'),
-{_samples('entry_id', 5, 'sample_entry_ids')}, {_samples('book_page', 8, 'sample_pages')}, {_samples('content', 3, 'sample_content')},
+_QUEUE = f"""o as (select {stripped('document_key')} as document_key, {stripped('version_id')} as version_id, coalesce(raw_author, '') as raw_author, {stripped('entry_id')} as entry_id,
+ {stripped("coalesce(nullif(book_page, ''), nullif(cast(pdf_page as varchar), '0'))")} as page, left({stripped('content')}, 160) as content, pdf_page, xref
+ from (select distinct * from entries) where upper({stripped('author_status')}) <> 'RESOLVED'),
+{_samples('entry_id', 5, 'sample_entry_ids', ', ')}, {_samples('page', 8, 'sample_pages', ', ')}, {_samples('content', 3, 'sample_content', ' | ')},
 queue as (select document_key || '::' || version_id || '::' || raw_author as review_key, document_key, version_id, raw_author, entry_count, coalesce(sample_entry_ids, '') as sample_entry_ids,
  coalesce(sample_pages, '') as sample_pages, coalesce(sample_content, '') as sample_content
 from (select document_key, version_id, raw_author, count(*) as entry_count from o group by 1, 2, 3)
@@ -446,7 +455,7 @@ def q19_merged_rows(spark: SparkSession, d: str) -> DataFrame:
 
 _ISSUES = """iss as (select source_file, array_to_string(list_filter([case when coalesce(trim(reviewer), '') = '' then 'REVIEWER_UNRESOLVED' end, case when coalesce(trim(book_page), '') = '' then 'PAGE_UNRESOLVED' end,
  case when trim(footer_status) = 'footer_mismatch' then 'PAGE_NUMBER_MISMATCH' end], lambda x: x is not null), '; ') as issue_type, coalesce(raw_author, '') as raw_author, pdf_page,
- coalesce(nullif(trim(book_page), ''), footer_page_candidate, '') as book_page_candidate, coalesce(comment, '') as comment
+ coalesce(nullif(trim(footer_page_candidate), ''), book_page, '') as book_page_candidate, coalesce(comment, '') as comment
  from (select distinct * from annotations) where coalesce(trim(reviewer), '') = '' or coalesce(trim(book_page), '') = '' or trim(footer_status) = 'footer_mismatch')"""
 
 
@@ -460,27 +469,40 @@ def q20_needs_review(spark: SparkSession, d: str) -> DataFrame:
     return output.new_issues(output.review_issues(a), stored)
 
 
-def _results(spark: SparkSession, d: str) -> DataFrame:
+def _processed(spark: SparkSession, d: str) -> DataFrame:
+    """Each file's last run with the summary of its annotations, against an edition of 60 pages."""
     files = registry.latest_per_key(table(spark, d, "files"), "drive_file_id", "file_log_id")
     s = _summary(table(spark, d, "annotations").distinct()).withColumnRenamed("source_sha256", "pdf_sha256").drop("entries_found")
-    return files.drop("reviewer").join(s, "pdf_sha256", "left").select(
-        F.col("drive_file_id").alias("file"), "status", F.col("message_error").alias("error"), S.text(F.col("reviewers")).alias("reviewers"), F.col("new_count").alias("inserted"), F.col("updated_count").alias("updated"), "pages_unresolved", "footer_mismatches",
-        F.lit(False).alias("master_suspect"), F.lit(1.0).alias("coverage"), F.greatest(F.col("pages") - 60, F.lit(0)).alias("pages_beyond_master"), F.col("pages_unresolved").alias("needs_review"),
+    rows = files.drop("reviewer").join(s, "pdf_sha256", "left").withColumns(
+        {"pages_unresolved": F.size("pages_unresolved"), "footer_mismatches": F.size("footer_mismatches"), "pages_mapped": F.greatest(F.col("pages") - F.coalesce(F.size("pages_unresolved"), F.lit(0)), F.lit(0)), "reviewers": F.coalesce("reviewers", F.array().cast("array<string>"))}
     )
+    edition = spark.createDataFrame([("sha256:0123456789ab", 60)], "version string, expected_pages int")
+    return summaries.master_compatibility(rows, edition)
+
+
+_PROCESSED = f"""s as ({_SUMMARY}{_ONE_ANNOTATION} group by 1), n as (select source_sha256, count(distinct pdf_page) filter (where {stripped('book_page')} = '') as unresolved, count(distinct pdf_page) filter (where footer_status = 'footer_mismatch') as footers from {_ONE_ANNOTATION} group by 1),
+r as (select l.*, n.unresolved, n.footers, coalesce(s.reviewers, '') as rev, s.skipped, greatest(pages - coalesce(n.unresolved, 0), 0) as mapped, coalesce(pages, 0) > 0 and coalesce(greatest(pages - coalesce(n.unresolved, 0), 0), 0) / pages < 0.8 as suspect,
+ case when coalesce(pages, 0) > 0 then coalesce(greatest(pages - coalesce(n.unresolved, 0), 0), 0) / pages else 0 end as share
+ from {_LATEST_FILE} l left join s on s.source_sha256 = l.pdf_sha256 left join n on n.source_sha256 = l.pdf_sha256)"""
 
 
 @query(
-    f"""with s as ({_SUMMARY}{_ONE_ANNOTATION} group by 1), r as (select l.*, s.pages_unresolved, s.footer_mismatches, coalesce(s.reviewers, '') as rev from {_LATEST_FILE} l left join s on s.source_sha256 = l.pdf_sha256)
-select drive_file_id as file, 'PDF_PROCESSING_ERROR' as code, 'ERROR' as severity, true as pm_actionable from r where status = 'ERROR'
-union all select drive_file_id, 'PDF_PROCESSED', 'INFO', false from r where status <> 'ERROR'
-union all select drive_file_id, 'REVIEWER_UNRESOLVED', 'WARNING', true from r where status <> 'ERROR' and rev = ''
-union all select drive_file_id, 'PAGE_MAPPING_UNRESOLVED', 'WARNING', true from r where status <> 'ERROR' and pages_unresolved > 0
-union all select drive_file_id, 'PAGE_NUMBER_MISMATCH', 'WARNING', false from r where status <> 'ERROR' and footer_mismatches > 0
-union all select drive_file_id, 'PAGES_BEYOND_MASTER', 'INFO', false from r where status <> 'ERROR' and pages > 60
-union all select drive_file_id, 'NEEDS_REVIEW', 'WARNING', true from r where status <> 'ERROR' and pages_unresolved > 0"""
+    f"""with {_PROCESSED}
+select drive_file_id as file, 'PDF_PROCESSING_ERROR' as code, 'ERROR' as severity, true as pm_actionable, coalesce(nullif(message_error, ''), 'PDF processing failed.') as message from r where status = 'ERROR'
+union all select drive_file_id, 'PDF_PROCESSED', 'INFO', false, drive_file_id || ' processed successfully; reviewer=' || coalesce(nullif(rev, ''), 'unresolved') || '; new=' || coalesce(new_count, 0) || '; updated=' || coalesce(updated_count, 0) || '; unchanged=' || coalesce(unchanged_count, 0) || '.' from r where status <> 'ERROR'
+union all select drive_file_id, 'REVIEWER_UNRESOLVED', 'WARNING', true, 'Reviewer could not be resolved. Manual reviewer assignment may be required.' from r where status <> 'ERROR' and rev = ''
+union all select drive_file_id, 'PAGE_MAPPING_UNRESOLVED', 'WARNING', true, unresolved || ' page(s) could not be mapped automatically.' from r where status <> 'ERROR' and unresolved > 0
+union all select drive_file_id, 'PAGE_NUMBER_MISMATCH', 'WARNING', false, footers || ' page-number mismatch(es) detected.' from r where status <> 'ERROR' and footers > 0
+union all select drive_file_id, 'MASTER_INDEX_MISMATCH', 'WARNING', false, 'Possible master-index mismatch detected; coverage=' || printf('%.1f', round_even(share, 4) * 100) || '%; master=sha256:0123456789ab.' from r where status <> 'ERROR' and suspect
+union all select drive_file_id, 'PAGES_BEYOND_MASTER', 'INFO', false, (pages - 60) || ' page(s) exceed the current master page count.' from r where status <> 'ERROR' and pages > 60
+union all select drive_file_id, 'NEEDS_REVIEW', 'WARNING', true, unresolved || ' annotation(s) require manual review.' from r where status <> 'ERROR' and unresolved > 0"""
 )
 def q21_alerts(spark: SparkSession, d: str) -> DataFrame:
-    return alerts.classify_results(_results(spark, d)).select("file", "code", "severity", "pm_actionable")
+    results = _processed(spark, d).select(
+        F.col("drive_file_id").alias("file"), "status", F.col("message_error").alias("error"), F.array_join("reviewers", ", ").alias("reviewers"), F.col("new_count").alias("inserted"), F.col("updated_count").alias("updated"), F.col("unchanged_count").alias("unchanged"),
+        "pages_unresolved", "footer_mismatches", F.col("master_mismatch_suspected").alias("master_suspect"), F.col("mapping_coverage").alias("coverage"), "master_index_version", "pages_beyond_master", F.col("pages_unresolved").alias("needs_review"),
+    )
+    return alerts.classify_results(results).select("file", "code", "severity", "pm_actionable", "message")
 
 
 @query(
@@ -545,21 +567,42 @@ def q28_box_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """select distinct file_log_id, array_to_string(list_filter([case when new_count > 0 then new_count || ' new' end, case when updated_count > 0 then updated_count || ' updated' end,
- case when unchanged_count > 0 then unchanged_count || ' unchanged' end, case when skipped_empty > 0 then skipped_empty || ' skipped empty' end, nullif(trim(message_error), '')], lambda x: x is not null), '; ') as message from files"""
+    f"""with {_PROCESSED}
+select file_log_id, array_to_string(list_filter([case when mapped is not null then mapped || '/' || coalesce(pages, 0) || ' pages mapped' end, case when skipped > 0 then skipped || ' empty annotations skipped' end,
+ case when unresolved > 0 then unresolved || ' unresolved pages' end, case when footers > 0 then footers || ' footer mismatches' end, case when pages > 60 then (pages - 60) || ' pages beyond master' end,
+ case when suspect then 'possible master-index mismatch' end, 'master=sha256:0123456789ab', nullif(message_error, '')], lambda x: x is not null), '; ') as message,
+ rev as reviewer, coalesce(pages, 0) as pages, coalesce(skipped, 0)::int as skipped_empty, coalesce(new_count, 0) as new_count from r"""
 )
 def q29_registry_message(spark: SparkSession, d: str) -> DataFrame:
-    return registry.log_message(table(spark, d, "files")).select("file_log_id", "message").distinct()
+    rows = _processed(spark, d).withColumns({"error": F.col("message_error"), "file_id": F.col("drive_file_id"), "name": F.col("pdf_name"), "link": F.col("drive_link"), "sha256": F.col("pdf_sha256"), "inserted": F.col("new_count"), "updated": F.col("updated_count"), "unchanged": F.col("unchanged_count")})
+    made = registry.registry_rows(rows, "2026-01-01T00:00:00Z").select("drive_file_id", F.col("message_error").alias("message"), "reviewer", "pages", "skipped_empty", "new_count")
+    return rows.select("drive_file_id", "file_log_id").join(made, "drive_file_id").drop("drive_file_id")
 
 
-#: A layout as older tables have it: no category, the author in its place.
-OLD_LAYOUT = (tuple(c for c in output.VISIBLE if c != "category"), (0, 1, 2, 3, None, 4, 5, 6, 7, 8, 9, 10))
+#: Headers of the known layouts, by the column that differs.
+_HEADERS = {
+    "MIGRATED_ANNOTATION_TYPE_E": (*output.HEADER[:4], "Annotation Type", *output.HEADER[5:11]),
+    "MIGRATED_ELEVEN_COLUMNS": (*output.HEADER[:4], *output.HEADER[5:11], "Type"),
+    "MIGRATED_TYPE_HEADER": (*output.HEADER[:4], "", *output.HEADER[5:11], "Type"),
+}
 
 
-@query(f"with {_VISIBLE} select distinct comment_id, pdf_name, page, '' as category, author, annotation_type from vis")
+@query(
+    f"""with {_VISIBLE} select 'MIGRATED_ANNOTATION_TYPE_E' as layout, comment_id, pdf_name, page, '' as category, author, annotation_type from vis
+union all select 'MIGRATED_ELEVEN_COLUMNS', comment_id, pdf_name, page, '', author, annotation_type from vis union all select 'MIGRATED_TYPE_HEADER', comment_id, pdf_name, page, category, author, annotation_type from vis"""
+)
 def q30_layout_migration(spark: SparkSession, d: str) -> DataFrame:
-    rows = _visible(spark, d).select(F.array(*OLD_LAYOUT[0]).alias("cells"))
-    return output.migrate_layout(rows, OLD_LAYOUT[0], [OLD_LAYOUT]).select("comment_id", "pdf_name", "page", "category", "author", "annotation_type").distinct()
+    rows = _visible(spark, d)
+    old = {
+        "MIGRATED_ANNOTATION_TYPE_E": [*output.VISIBLE[:4], "annotation_type", *output.VISIBLE[5:11]],
+        "MIGRATED_ELEVEN_COLUMNS": [c for c in output.VISIBLE if c != "category"],
+        "MIGRATED_TYPE_HEADER": list(output.VISIBLE),
+    }
+    made = [
+        output.migrate_layout(rows.select(F.array(*cells).alias("cells")), _HEADERS[name]).select(F.lit(output.layout_of(_HEADERS[name])[0]).alias("layout"), "comment_id", "pdf_name", "page", "category", "author", "annotation_type")
+        for name, cells in old.items()
+    ]
+    return union_all(made)
 
 
 @query(
@@ -572,12 +615,16 @@ def q31_footer_check(spark: SparkSession, d: str) -> DataFrame:
 
 _ALIASES = {"ftamhold": "François Tamhold", "edehaskerin": "Ekaterina De Haskerin", "greyharbour": "Greyharbour Review Department", "slp": "Stonewater Learning Partners"}
 _NAME_CASES = " ".join(f"when lower({ws('raw_author')}) = '{a}' then '{n}'" for a, n in sorted(_ALIASES.items()))
-_FILE_CASES = " ".join(f"when contains(w, ' {a} ') then '{n}'" for a, n in sorted(_ALIASES.items()))
+_FILE_CASES = " ".join(f"when contains(' ' || lower(w) || ' ', ' {a} ') then '{n}'" for a, n in _ALIASES.items())
+_STEM = r"regexp_replace(regexp_replace(coalesce(source_file, ''), '\.[^.]*$', ''), '[_.()\\-]+', ' ', 'g')"
+_FILE_WORDS = ", ".join(f"'{w}'" for w in (*S.FILE_WORDS, *S.GENERIC_AUTHORS))
 
 
 @query(
-    rf"""select distinct raw_author, source_file, case {_NAME_CASES} when len(p) >= 2 and not {_GENERIC} and len(list_filter(p[1:4], lambda x: not regexp_matches(x, '\p{{L}}'))) = 0 then {ws('raw_author')} {_FILE_CASES} else '' end as reviewer_name
-from (select raw_author, source_file, string_split({ws('raw_author')}, ' ') as p, ' ' || lower(trim(regexp_replace(regexp_replace(coalesce(source_file, ''), '\.[^.]*$', ''), '[_.()\\\s-]+', ' ', 'g'))) || ' ' as w from annotations)"""
+    rf"""select distinct raw_author, source_file, case {_NAME_CASES} when len(p) >= 2 and not {_GENERIC} and len(list_filter(p[1:4], lambda x: not regexp_matches(x, '\p{{L}}'))) = 0 then {ws('raw_author')} {_FILE_CASES}
+ when len(kept) between 2 and 4 and len(list_filter(kept, lambda x: not regexp_matches(x, '\p{{L}}'))) = 0 then array_to_string(kept, ' ') else '' end as reviewer_name
+from (select *, list_filter(string_split(w, ' '), lambda x: lower(x) not in ({_FILE_WORDS}) and not regexp_full_match(x, '[0-9]*')) as kept
+ from (select raw_author, source_file, string_split({ws('raw_author')}, ' ') as p, {ws(_STEM)} as w from annotations))"""
 )
 def q32_reviewer_name(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "annotations").select("raw_author", "source_file", S.reviewer_name(F.col("raw_author"), F.col("source_file"), _ALIASES).alias("reviewer_name")).distinct()

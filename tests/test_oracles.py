@@ -4,9 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL, compare_with_oracle
-from marginalis.plans import change_queries, reference_queries
+from marginalis.plans import backend_queries, change_queries, reference_queries
 
-CORE = [change_queries, reference_queries]
+CORE = [change_queries, reference_queries, backend_queries]
 NAMED = [(n, m) for m in CORE for n in m.QUERIES]
 
 
