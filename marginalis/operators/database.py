@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..session import cut
 from . import output
 from .checks import require
 
@@ -73,11 +74,10 @@ def upsert_database(annotations: DataFrame, stored: DataFrame, file_id: Column,
     new = database_rows(first, file_id, link, F.lit(now))
     old = stored.groupBy(F.col("annotation_key").alias("_k")).agg(F.max(F.struct("last_seen", *[c for c in DATABASE if c != "last_seen"])).alias("old"))
     j = new.select(F.col("annotation_key").alias("_n"), F.struct(*DATABASE).alias("new")).join(old, F.col("_n") == F.col("_k"), "full_outer")
-    differs = F.lit(False)
-    for c in CONTENT:
-        differs = differs | (S.text(F.col(f"new.{c}")) != S.text(F.col(f"old.{c}")))
+    differs = F.struct(*[F.col(f"new.{c}") for c in CONTENT]) != F.struct(*[S.text(F.col(f"old.{c}")) for c in CONTENT])
     action = F.when(F.col("_k").isNull(), "inserted").when(F.col("_n").isNull(), "kept").when(differs, "updated").otherwise("unchanged")
-    j = j.withColumn("action", action)
+    # written: table, actions and counts all read it
+    j = cut(j.withColumn("action", action))
     written = F.col("action").isin("inserted", "updated")
     seen = F.coalesce(S.blank_null(F.col("old.first_seen")), F.lit(now))
     table = j.select(*[F.when(written, seen if c == "first_seen" else F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in DATABASE])
@@ -141,7 +141,7 @@ def reconcile(database: DataFrame, stored: DataFrame, tabs: dict[str, str] | Non
     at = lambda c: F.concat(F.col("tab"), F.lit("\x1d"), S.text(F.col(c)))
     d = desired.withColumns({"comment_id": at("comment_id"), "page": at("page"), "ord": F.col("comment_id")})
     s = stored.withColumns({"comment_id": F.when(S.strip(F.col("comment_id")) == "", "").otherwise(at("comment_id")), "page": at("page")})
-    matched = output.match_output(d, s)
+    matched = cut(output.match_output(d, s))
     require(matched, F.col("match") != "AMBIGUOUS", "several stored rows fit one comment")
     plain = lambda c: F.element_at(F.split(c, "\x1d", 2), 2)
     merged = output.merge_fields(matched, stored, ["tab", "reviewer"]).withColumns({"comment_id": plain("comment_id"), "page": plain("page")})

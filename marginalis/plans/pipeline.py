@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import authors, changes, checks, output, registry, review
 from ..operators.hierarchy import resolve_threads
-from ..schemas import ENTRIES, HISTORY, REVIEW, RULES
+from ..schemas import DOCUMENTS, ENTRIES, FILES, HISTORY, REVIEW, RULES
 from ..session import cut
-from ..sources.store import Store
+from ..sources.store import SHARED, Store
 
 SIGNED = ("raw_author", "pdf_page", "book_page", "annotation_type", "relation_type", "parent_entry_id", "root_entry_id", "reply_depth", "comment", "selected_text", "subject", "created", "modified", "rect_x0", "rect_y0", "rect_x1", "rect_y1")
 
@@ -67,7 +68,7 @@ def prepare(store: Store, version: Version, rows: DataFrame, aliases: dict[str,
     """Everything a run would write, from the extractor's rows and the store."""
     spark = rows.sparkSession
     checks.require_keys(rows, ["entry_id"], "extracted entry ids must be present and unique")
-    rules = store.read("rules").withColumn("rule_ord", F.monotonically_increasing_id()).select("rule_id", "scope", "document_key", "version_id", "root_entry_id", "entry_id", "raw_author", "canonical_author", "status", "rule_ord")
+    rules = store.read("rules", SHARED).withColumn("rule_ord", F.coalesce("rule_ord", F.lit(0))).select("rule_id", "scope", "document_key", "version_id", "root_entry_id", "entry_id", "raw_author", "canonical_author", "status", "rule_ord")
     base = rows.withColumns({"document_key": F.lit(version.document_key), "version_id": F.lit(version.version_id)})
     resolved = authors.resolve_authors(base, authors.effective_rules(authors.alias_rules(spark, aliases or {}), rules), historical)
     signed = resolved.withColumn("entry_signature", S.entry_signature(*[F.col(c) for c in SIGNED]))
@@ -78,7 +79,7 @@ def prepare(store: Store, version: Version, rows: DataFrame, aliases: dict[str,
         "active": F.lit(True), "source_state": F.lit("CURRENT"), "first_seen": F.lit(version.processed_at), "last_seen": F.lit(version.processed_at), "entry_type": F.when(F.col("relation_type") == "REPLY", "REPLY").otherwise("COMMENT"),
     }
     entries = cut(signed.select(*[(values[c] if c in values else F.col(c)).cast(ENTRIES[c].dataType).alias(c) for c in ENTRIES.fieldNames()]))
-    stored = store.read("entries").where(F.col("document_key") == version.document_key)
+    stored = store.read("entries", version.document_key)
     checks.require_keys(stored, ["document_key", "entry_id"], "stored entries must be unique")
     plan = cut(changes.change_plan(entries, stored))
     written = [c for c in ENTRIES.fieldNames() if c not in ("active", "source_state", "first_seen", "last_seen")]
@@ -93,22 +94,25 @@ class Result:
     promoted_rules: int = 0
 
 
-def execute(store: Store, version: Version, rows: DataFrame, aliases: dict[str, str] | None = None, historical: DataFrame | None = None, log_id: int | None = None) -> Result:
+def execute(store: Store, version: Version, rows: DataFrame, aliases: dict[str, str] | None = None, historical: DataFrame | None = None, log_id: int | None = None, message: str = "") -> Result:
     """Commit one extracted version: approvals first, then the guard for known
-    versions, then all tables in one commit.  Every check runs before it."""
+    versions, then all tables of the document in one commit.  Every check runs
+    before it.  Nothing of other documents is read or written."""
     spark = rows.sparkSession
     if not version.pdf_sha256:
         raise ValueError("rows without a content hash belong to no version")
-    stored_rules, stored_review = store.read("rules"), store.read("review")
+    key = version.document_key
+    stored_rules, stored_review = store.read("rules", SHARED), store.read("review", key)
     fresh = cut(review.promote_rules(stored_review, stored_rules))
     promoted = fresh.count()
-    rules = stored_rules
     if promoted:
-        rules = cut(stored_rules.unionByName(fresh.select(*[F.col(c) if c in fresh.columns else F.lit("").alias(c) for c in RULES.fieldNames()])))
-        store.commit(replace={"rules": rules})
+        # rules keep the order in which they were stored; a document's decisions are few
+        last = stored_rules.agg(F.max("rule_ord")).first()[0] or 0
+        numbered = fresh.withColumn("rule_ord", F.lit(last) + F.row_number().over(Window.orderBy("rule_id")))
+        store.commit(append={"rules": numbered.select(*[F.col(c) if c in numbered.columns else F.lit("").alias(c) for c in RULES.fieldNames()])})
     prepared = prepare(store, version, rows, aliases, historical)
     counts = changes.change_counts(prepared.plan).first().asDict()
-    known = not store.read("versions").where((F.col("document_key") == version.document_key) & (F.lower("pdf_sha256") == version.pdf_sha256.lower())).isEmpty()
+    known = not store.read("versions", key).where(F.lower("pdf_sha256") == version.pdf_sha256.lower()).isEmpty()
     if known:
         checks.require_unchanged(prepared.plan)
         if not counts["author_updated"]:
@@ -116,7 +120,7 @@ def execute(store: Store, version: Version, rows: DataFrame, aliases: dict[str,
     queue = review.review_queue(prepared.entries, ["pdf_page", "xref", "entry_id"])
     human = ["suggested_canonical_author", "decision", "canonical_author", "rule_scope", "reviewed_by", "reviewed_at", "notes"]
     reviewed = review.review_upsert(queue, stored_review, human).select(*[F.col(c).cast(REVIEW[c].dataType) for c in REVIEW.fieldNames()])
-    everything = store.read("entries")
+    everything = store.read("entries", key)
     m = prepared.mutations
     touched = m.updates.select("document_key", "entry_id").unionByName(m.deactivations.select("document_key", "entry_id"))
     checks.require_targets(touched, everything, ["document_key", "entry_id"])
@@ -128,36 +132,55 @@ def execute(store: Store, version: Version, rows: DataFrame, aliases: dict[str,
         "version_id", "document_key", F.lit(v.drive_file_id).alias("drive_file_id"), F.lit(v.pdf_name).alias("pdf_name"), F.lit(v.drive_link).alias("drive_link"), F.lit(v.modified_time).alias("modified_time"), F.lit(v.size_bytes).cast("long").alias("size_bytes"),
         F.lit(v.pdf_sha256).alias("pdf_sha256"), "version_status", "authors_found", F.lit(v.pages).alias("pages"), F.col("entries_found").cast("int"), F.col("root_comments").cast("int"), F.col("replies").cast("int"), F.lit(v.processed_at).alias("processed_at"), F.lit("").alias("message_error"),
     )
-    checks.require_versions(row, store.read("versions"))
-    documents = store.read("documents").where(F.col("document_key") != v.document_key)
-    document = spark.createDataFrame([(v.document_key, v.document_key, "", "", v.version_id, v.drive_file_id, v.pdf_sha256, v.modified_time, status, v.processed_at)], documents.schema)
-    log = spark.createDataFrame([(log_id or 0, v.drive_file_id, v.pdf_name, v.drive_link, v.modified_time, v.size_bytes, v.pdf_sha256, "", "PROCESSED", v.pages, sum(counts[k] for k in ("new", "updated", "author_updated", "unchanged")), counts["new"], counts["updated"] + counts["author_updated"], counts["unchanged"], 0, v.processed_at, "")], store.read("files").schema)
+    checks.require_versions(row, store.read("versions", key))
+    document = spark.createDataFrame([(v.document_key, v.document_key, "", "", v.version_id, v.drive_file_id, v.pdf_sha256, v.modified_time, status, v.processed_at)], DOCUMENTS)
+    log = spark.createDataFrame([(log_id or 0, v.drive_file_id, v.pdf_name, v.drive_link, v.modified_time, v.size_bytes, v.pdf_sha256, "", "PROCESSED", v.pages, sum(counts[k] for k in ("new", "updated", "author_updated", "unchanged")), counts["new"], counts["updated"] + counts["author_updated"], counts["unchanged"], 0, v.processed_at, message)], FILES)
     store.commit(
-        replace={"entries": after, "review": reviewed, "documents": documents.unionByName(document)},
+        replace={"entries": after, "review": reviewed, "documents": document},
         append={"history": history, "files": log} | ({} if known else {"versions": row}),
+        document=key,
     )
     return Result("PROCESSED", version.version_id, counts, promoted)
 
 
-def process_versions(store: Store, batch: list[tuple[Version, DataFrame]], dry_run: bool = False, aliases: dict[str, str] | None = None) -> list[dict[str, Any]]:
-    """Versions one after the other, in the order of modified time, name and
-    file: each is compared with what the one before left.  A failed version is
-    logged and doesn't stop the others; a dry run only counts."""
-    results = []
-    for version, rows in sorted(batch, key=lambda x: (x[0].modified_time, x[0].pdf_name, x[0].drive_file_id)):
+#: Documents that are processed at the same time.
+TOGETHER = 4
+
+
+def _log_row(v: Version, status: str, message: str, log_id: int = 0) -> tuple:
+    return (log_id, v.drive_file_id, v.pdf_name, v.drive_link, v.modified_time, v.size_bytes, v.pdf_sha256, "", status, 0, 0, 0, 0, 0, 0, v.processed_at, message)
+
+
+def log_result(store: Store, v: Version, status: str, message: str) -> None:
+    """A registry row of a version that wrote nothing else."""
+    store.commit(append={"files": store.spark.createDataFrame([_log_row(v, status, message)], FILES)}, document=v.document_key)
+
+
+def process_versions(store: Store, batch: list[tuple[Version, DataFrame]], dry_run: bool = False, aliases: dict[str, str] | None = None, historical: DataFrame | None = None) -> list[dict[str, Any]]:
+    """Versions of a document one after the other, in the order of modified
+    time, name and file: each is compared with what the one before left.
+    Documents don't depend on each other; TOGETHER of them run at a time.  A
+    failed version is logged and doesn't stop the others; a dry run only
+    counts.  Results come in the order of all versions."""
+    ordered = sorted(batch, key=lambda x: (x[0].modified_time, x[0].pdf_name, x[0].drive_file_id))
+
+    def one(version: Version, rows: DataFrame) -> dict[str, Any]:
         try:
             if dry_run:
-                results.append({"file": version.pdf_name, "action": "DRY_RUN", "import_candidates": rows.where("import_candidate").count()})
-                continue
-            done = execute(store, version, rows, aliases)
-            results.append({"file": version.pdf_name, "action": done.action, **done.counts})
+                return {"file": version.pdf_name, "action": "DRY_RUN", "import_candidates": rows.where("import_candidate").count()}
+            done = execute(store, version, rows, aliases, historical)
+            return {"file": version.pdf_name, "action": done.action, **done.counts}
         except Exception as problem:  # noqa: BLE001  one file's failure is its result
-            v = version
-            spark = rows.sparkSession
-            log = spark.createDataFrame([(0, v.drive_file_id, v.pdf_name, v.drive_link, v.modified_time, v.size_bytes, v.pdf_sha256, "", "ERROR", 0, 0, 0, 0, 0, 0, v.processed_at, str(problem)[:500])], store.read("files").schema)
-            store.commit(append={"files": log})
-            results.append({"file": v.pdf_name, "action": "ERROR", "error": str(problem)})
-    return results
+            if not dry_run:
+                log_result(store, version, "ERROR", str(problem)[:500])
+            return {"file": version.pdf_name, "action": "ERROR", "error": str(problem)}
+
+    by_document: dict[str, list[int]] = {}
+    for i, (version, _) in enumerate(ordered):
+        by_document.setdefault(version.document_key, []).append(i)
+    with ThreadPoolExecutor(TOGETHER) as pool:
+        found = dict(item for items in pool.map(lambda numbers: [(i, one(*ordered[i])) for i in numbers], by_document.values()) for item in items)
+    return [found[i] for i in range(len(ordered))]
 
 
 def reconcile_output(annotations: DataFrame, stored: DataFrame) -> DataFrame:

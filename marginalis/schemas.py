@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-
 def _fields(text: str) -> T.StructType:
     """name[:type] separated by blanks; string where no type is given."""
     kinds = {"int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
@@ -40,7 +39,7 @@ VERSIONS = _fields(
 
 DOCUMENTS = _fields("document_key document_name output_tab master_version current_version_id current_drive_file_id current_pdf_sha256 current_modified_time status last_processed")
 
-RULES = _fields("rule_id scope document_key version_id root_entry_id entry_id raw_author canonical_author status approved_by approved_at notes")
+RULES = _fields("rule_id scope document_key version_id root_entry_id entry_id raw_author canonical_author status approved_by approved_at notes rule_ord:long")
 
 REVIEW = _fields(
     """review_key document_key version_id raw_author entry_count:long sample_entry_ids sample_pages sample_content suggested_canonical_author decision canonical_author rule_scope reviewed_by

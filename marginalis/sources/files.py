@@ -26,9 +26,10 @@ def processing_order(files: DataFrame) -> DataFrame:
 
 
 def with_contents(spark: SparkSession, files: DataFrame, folder: str, pattern: str = "*.pdf") -> DataFrame:
-    """Add content and sha256 to the chosen files only; the join prunes the rest."""
+    """Add content and sha256 to the chosen files only; the join prunes the
+    rest, by a way that Spark chooses by the size of the list."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder).select("path", "content")
-    return raw.join(F.broadcast(files) if files.limit(100_001).count() <= 100_000 else files, "path").withColumn("sha256", F.sha2("content", 256))
+    return raw.join(files, "path").withColumn("sha256", F.sha2("content", 256))
 
 
 #: Takes a file's bytes and name, yields its rows as dictionaries.

@@ -33,15 +33,15 @@ def test_life_of_a_document(spark, tmp_path):
     assert {x.entry_id: x.canonical_author for x in store.read("entries").collect()} == {"A": "", "B": "Full Name"}
     assert store.read("review").count() == 1 and store.read("history").count() == 2 and store.read("documents").first().status == "NEEDS_AUTHOR_REVIEW"
     # the same version again writes nothing
-    before = store.pointer()
-    assert execute(store, version("a"), rows(spark, first), {"alias": "Full Name"}).action == "DUPLICATE_VERSION" and store.pointer() == before
+    before = store.state()
+    assert execute(store, version("a"), rows(spark, first), {"alias": "Full Name"}).action == "DUPLICATE_VERSION" and store.state() == before
     # a known version with other content fails before any write
     with pytest.raises(checks.CheckFailed):
         execute(store, version("a"), rows(spark, [("A", "user", "changed", None)]), {"alias": "Full Name"})
-    assert store.pointer() == before
+    assert store.state() == before
     # an approval becomes a rule and resolves the author of the known version
     decided = store.read("review").withColumns({"decision": F.lit("APPROVE"), "canonical_author": F.lit("Ann Lee")})
-    store.commit(replace={"review": decided})
+    store.commit(replace={"review": decided}, document="BOOK")
     r = execute(store, version("a"), rows(spark, first), {"alias": "Full Name"})
     assert (r.action, r.promoted_rules, r.counts["author_updated"]) == ("PROCESSED", 1, 1)
     assert store.read("documents").first().status == "PROCESSED" and store.read("versions").count() == 1
@@ -58,7 +58,7 @@ def test_life_of_a_document(spark, tmp_path):
 def test_batch_order_failure_and_dry_run(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     good, broken = rows(spark, [("A", "x y", "1", None)]), rows(spark, [("A", "x", "1", None), ("A", "x", "2", None)], "c" * 64)
-    assert process_versions(store, [(version("a"), good)], dry_run=True) == [{"file": "f.pdf", "action": "DRY_RUN", "import_candidates": 1}] and store.pointer() == {}
+    assert process_versions(store, [(version("a"), good)], dry_run=True) == [{"file": "f.pdf", "action": "DRY_RUN", "import_candidates": 1}] and store.state() == {}
     done = process_versions(store, [(version("c", "t2"), broken), (version("a"), good)])
     assert [d["action"] for d in done] == ["PROCESSED", "ERROR"]
     assert sorted(r.status for r in store.read("files").collect()) == ["ERROR", "PROCESSED"]

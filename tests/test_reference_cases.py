@@ -78,7 +78,10 @@ def test_review_queue_promotion_and_human_columns(spark):
     )
     rows = {r.raw_author: r for r in review.review_queue(e, ["pdf_page", "xref"]).collect()}
     assert set(rows) == {"user", "User"} and rows["user"].entry_count == 9
-    assert rows["user"].sample_entry_ids == "e0 | e1 | e2 | e3 | e4" and rows["user"].sample_pages == "0 | 1 | 2" and rows["user"].sample_content == "text 0 | same text | text 2"
+    assert rows["user"].sample_entry_ids == "e0, e1, e2, e3, e4" and rows["user"].sample_pages == "0, 1, 2" and rows["user"].sample_content == "text 0 | same text | text 2"
+    # without a book page the file's page, without a content the comment
+    bare = e.where("entry_id in ('e3', 'e9')").withColumns({"book_page": F.lit(""), "comment": F.lit("said"), "content": F.when(F.col("entry_id") == "e9", F.col("content"))})
+    assert {r.raw_author: (r.sample_pages, r.sample_content) for r in review.review_queue(bare, ["pdf_page"]).collect()} == {"user": ("3", "said"), "User": ("9", "same text")}
     stored = review.review_queue(e, ["pdf_page", "xref"]).where("raw_author = 'user'").withColumns({"entry_count": F.lit(1).cast("long"), "decision": F.lit(" approve "), "canonical_author": F.lit("Ann"), "rule_scope": F.lit("")})
     merged = {r.raw_author: r for r in review.review_upsert(review.review_queue(e, ["pdf_page", "xref"]), stored, ["decision", "canonical_author", "rule_scope"]).collect()}
     assert merged["user"].entry_count == 9 and merged["user"].canonical_author == "Ann" and merged["User"].write == "INSERT"
@@ -107,6 +110,10 @@ def test_scalars(spark):
     assert one(spark, keep, reason) == (False, "empty_highlight")
     aliases = {"aliasx": "Full Name"}
     assert one(spark, *[S.reviewer_name(t(r), t(f), aliases) for r, f in (("AliasX", ""), ("First Last", ""), ("user", "BOOK_aliasx.pdf"), ("user", "BOOK_aliasxy.pdf"), ("Name 12", ""))]) == ("Full Name", "First Last", "Full Name", "", "")
+    # a full name in the file's own name, without numbers and common words; an explicit one goes first
+    files = [("user", "IGCSE_ARABIC_2P_First Last.pdf"), ("user", "IGCSE_ARABIC_2P_Sara Khalil (final) 12.pdf"), ("user", "IGCSE_ARABIC_2P.pdf"), ("user", "One Two Three Four Five.pdf"), ("user", "Reviewer Ann.pdf")]
+    assert one(spark, *[S.reviewer_name(t(r), t(f), aliases) for r, f in files]) == ("First Last", "Sara Khalil", "", "", "")
+    assert one(spark, S.reviewer_name(t("aliasx"), t(""), aliases, t("Ann  Lee")), S.reviewer_name(t("aliasx"), t(""), aliases, t("Ann"))) == ("Ann Lee", "Full Name")
     same = S.entry_signature(t("a"), t(None))
     assert one(spark, same)[0] == one(spark, S.entry_signature(t("a"), t("")))[0] != one(spark, S.entry_signature(t(""), t("a")))[0]
     assert one(spark, S.raw_authors_match(t("User"), t("user")), S.raw_authors_match(t("Ann  B"), t("ann b"))) == (False, True)
@@ -126,15 +133,27 @@ def test_registry_log(spark):
 
 
 def test_alerts_and_notices(spark):
-    schema = "file string, status string, error string, reviewers string, inserted int, updated int, pages_unresolved int, footer_mismatches int, master_suspect boolean, coverage double, pages_beyond_master int, needs_review int"
-    rows = [("bad", "ERROR", "broken", "", 0, 0, 9, 9, True, 0.1, 9, 9), ("good", "PROCESSED", None, "A; B", 1, 2, 0, 0, False, 1.0, 0, 0), ("odd", "PROCESSED", None, None, 1, 2, 3, 1, True, 0.5, 2, 4)]
+    schema = "file string, status string, error string, reviewers string, inserted int, updated int, pages_unresolved int, footer_mismatches int, master_suspect boolean, coverage double, pages_beyond_master int, needs_review int, unchanged int, master_index_version string"
+    rows = [("bad", "ERROR", "broken", "", 0, 0, 9, 9, True, 0.1, 9, 9, 0, ""), ("good", "PROCESSED", None, "A; B", 1, 2, 0, 0, False, 1.0, 0, 0, 7, "v"), ("odd", "PROCESSED", None, None, 1, 2, 3, 1, True, 0.5, 2, 4, 0, "v")]
     got = alerts.classify_results(spark.createDataFrame(rows, schema))
     codes = {}
     for r in got.collect():
         codes.setdefault(r.file, []).append(r.code)
     assert codes["bad"] == ["PDF_PROCESSING_ERROR"] and codes["good"] == ["PDF_PROCESSED"] and codes["odd"] == list(alerts.ALERTS)[1:]
+    said = {(r.file, r.code): r.message for r in got.collect()}
+    assert said["good", "PDF_PROCESSED"] == "good processed successfully; reviewer=A; B; new=1; updated=2; unchanged=7."
+    assert said["odd", "MASTER_INDEX_MISMATCH"] == "Possible master-index mismatch detected; coverage=50.0%; master=v."
+    made, taken = alerts.notices(got, {"ADMIN": ["a@x.invalid"]}), []
+
+    def send(notice):
+        if notice["file"] == "bad":
+            raise OSError("refused")
+        taken.append(notice["code"])
+
+    assert alerts.deliver(made, send, False) == 0 and alerts.deliver(made, send, True) == len(taken) == 8
+    assert alerts.switched_on("X", environment={"X": " On "}) and not alerts.switched_on("X", environment={"X": "0"}) and not alerts.switched_on("X", environment={})
     sent = alerts.notices(got, {"ADMIN": ["a@x.invalid", "b@x.invalid"], "PM": ["b@x.invalid"]}).where("file = 'bad'").first()
-    assert sent.recipients == ["a@x.invalid", "b@x.invalid"] and "PDF_PROCESSING_ERROR" in sent.subject and "Action" in sent.body
+    assert sent.recipients == ["a@x.invalid", "b@x.invalid"] and "PDF_PROCESSING_ERROR" in sent.subject and "Manual action required: Yes" in sent.body
 
 
 def visible(i, page, comment, category="", kind=""):
@@ -156,15 +175,22 @@ def test_output_match_and_merge(spark):
 
 
 def test_layouts(spark):
-    from marginalis.plans.reference_queries import OLD_LAYOUT
-
-    rows = spark.createDataFrame([(["p", "l", "1", "c", "auth"],)], "cells array<string>")
-    row = output.migrate_layout(rows, OLD_LAYOUT[0], [OLD_LAYOUT]).first()
-    assert row.category == "" and row.author == "auth" and row.annotation_type == ""
-    assert output.migrate_layout(rows, output.VISIBLE, []).first().category == "auth"
-    with pytest.raises(ValueError, match="unknown table layout"):
-        output.migrate_layout(rows, ("x",), [OLD_LAYOUT])
-
+    H = output.HEADER
+    layouts = {
+        "CANONICAL": H, "MIGRATED_ANNOTATION_TYPE_E": (*H[:4], "Annotation Type", *H[5:11]), "MIGRATED_CATEGORY_TYPE_HEADER": (*H[:4], "Type", *H[5:11]),
+        "MIGRATED_CATEGORY_BLANK_HEADER": (*H[:4], "", *H[5:11]), "MIGRATED_ELEVEN_COLUMNS": (*H[:4], *H[5:11], "Type"), "MIGRATED_TYPE_HEADER": (*H[:4], None, *H[5:11], "Type"),
+    }
+    assert {n: output.layout_of(h)[0] for n, h in layouts.items()} == {n: n for n in layouts}
+    rows = spark.createDataFrame([([f"c{i}" for i in range(11)],), (["p"],)], "cells array<string>")
+    moved = output.migrate_layout(rows, layouts["MIGRATED_ANNOTATION_TYPE_E"]).collect()
+    assert (moved[0].category, moved[0].author, moved[0].comment_id, moved[0].annotation_type) == ("", "c5", "c10", "c4") and tuple(moved[1]) == ("p", *[""] * 11)
+    older = output.migrate_layout(rows, layouts["MIGRATED_ELEVEN_COLUMNS"]).first()
+    assert (older.category, older.author, older.comment_id, older.annotation_type) == ("", "c4", "c9", "c10")
+    kept = output.migrate_layout(rows, layouts["MIGRATED_CATEGORY_BLANK_HEADER"]).first()
+    assert (kept.category, kept.author, kept.comment_id, kept.annotation_type) == ("c4", "c5", "c10", "")
+    for unknown in (("x",), (*H[:4], "Other", *H[5:]), H[:5]):
+        with pytest.raises(ValueError, match="unknown table layout"):
+            output.migrate_layout(rows, unknown)
 
 def test_pages_and_marked_text(spark):
     p = spark.createDataFrame([(1, " one  page", 1, "i"), (2, "blank", 2, "ii"), (3, "blank", 3, "iii"), (4, None, 4, "")], "doc int, text string, page int, label string")
