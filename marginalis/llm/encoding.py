@@ -504,14 +504,20 @@ def _bits(word: str, language: str) -> tuple[int, int]:
     return zlib.crc32(data) % FILTER, zlib.crc32(data, 0x5BD1E995) % FILTER
 
 
+#: How likely words of the narrow filter are at least to be meant otherwise (a
+#: natural logarithm, as ``Reader.leans`` gives it).
+NARROW = -9.0
+
+
 def open_words(listed: DataFrame, model: Model) -> np.ndarray:
-    """Filter of the words that have a likely reading beside themselves, as 64
-    bits a number.  It never leaves one out; others may look as if they had
-    one, the more the larger the vocabulary, and are then found not to."""
+    """Two filters, as 64 bits a number: of the words that have a likely
+    reading beside themselves, and of those that lean to it by NARROW.  They
+    never leave one out; others may look as if they had one, the more the
+    larger the vocabulary, and are then found not to."""
     sent = listed.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fitted, bits = sent.value, np.zeros(FILTER // 64, dtype=np.uint64)
+        fitted, bits = sent.value, np.zeros((2, FILTER // 64), dtype=np.uint64)
         for batch in batches:
             batch = batch.drop_duplicates(["word", "language"])
             if batch.empty:
@@ -519,19 +525,27 @@ def open_words(listed: DataFrame, model: Model) -> np.ndarray:
             chains, texts, marks, starts, sizes = _flat(batch)
             word = np.repeat(np.arange(len(batch)), sizes)
             spoken = np.array([fitted.language(x) for x in batch["language"]])
-            scores = fitted.scores(chains, texts, marks, starts, spoken[word])
-            likely = np.add.reduceat(scores > scores[starts][word] - HOPELESS, starts) > 1
-            for w, la in zip(batch["word"][likely], batch["language"][likely], strict=True):
-                for bit in _bits(w, la):
-                    bits[bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
-        at = np.flatnonzero(bits)
-        yield pd.DataFrame({"i": at, "bits": bits[at].view(np.int64)})
+            gains = fitted.scores(chains, texts, marks, starts, spoken[word])
+            gains = gains - gains[starts][word]
+            gains[starts] = -np.inf
+            gains = np.where(gains > -HOPELESS, gains, -np.inf)
+            most = np.maximum.reduceat(gains, starts)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                # a trifle more, so that rounding can't leave one out
+                lean = np.where(np.isfinite(most), most + np.log(np.add.reduceat(np.exp(gains - most[word]), starts)) + 1e-6, -np.inf)
+            for narrow, chosen in enumerate((lean > -np.inf, lean >= NARROW)):
+                for w, la in zip(batch["word"][chosen], batch["language"][chosen], strict=True):
+                    for bit in _bits(w, la):
+                        bits[narrow, bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
+        flat = bits.reshape(-1)
+        at = np.flatnonzero(flat)
+        yield pd.DataFrame({"i": at, "bits": flat[at].view(np.int64)})
 
     got = listed.mapInPandas(run, "i long, bits long").groupBy("i").agg(F.bit_or("bits").alias("bits")).toPandas()
     sent.destroy()
-    out = np.zeros(FILTER // 64, dtype=np.uint64)
+    out = np.zeros(2 * FILTER // 64, dtype=np.uint64)
     out[got["i"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
-    return out
+    return out.reshape(2, -1)
 
 
 #: A word is read more closely if the chance that it is meant otherwise could
@@ -544,19 +558,21 @@ class Reader:
 
     def __init__(self, model: Model, filter_: np.ndarray):
         self.model, self.filter = model, filter_
-        self._lean: dict[str, dict[str, float]] = {}
+        self._lean: dict[tuple[str, int], dict[str, float]] = {}
         self._read: dict[tuple[str, str], tuple] = {}
 
-    def leans(self, words: set[str], language: str) -> dict[str, float]:
+    def leans(self, words: set[str], language: str, least: float) -> dict[str, float]:
         """How much likelier than as they stand words are to be meant
-        otherwise, were all chains as frequent (natural logarithms)."""
-        known = self._lean.setdefault(language, {})
+        otherwise, were all chains as frequent (natural logarithms); minus
+        infinity for words that surely lean less than ``least``."""
+        narrow = int(least >= NARROW)
+        known, filter_ = self._lean.setdefault((language, narrow), {}), self.filter[narrow]
         if len(known) > 500_000:
             known.clear()
         for w in [w for w in words if w not in known]:
             if "\ufffd" in w:
                 known[w] = math.inf
-            elif all(int(self.filter[b // 64]) >> (b % 64) & 1 for b in _bits(w, language)):
+            elif all(int(filter_[b // 64]) >> (b % 64) & 1 for b in _bits(w, language)):
                 scores = self.read(w, language)[2]
                 known[w] = float(np.logaddexp.reduce(scores[1:] - scores[0])) if len(scores) > 1 else -math.inf
             else:
@@ -593,8 +609,8 @@ def repair_text(text: str, reader: Reader, log_prior: np.ndarray, language: str)
     then count as clean from the start.
     """
     odd = odd_words(text)
-    lean = reader.leans(set(odd), language)
     least = CONTESTED - math.log((len(odd) + 20) / 20) + log_prior[0]
+    lean = reader.leans(set(odd), language, least)
     contested = Counter(w for w in odd if lean[w] >= least)
     if not contested:
         return text, 0, [], True

@@ -48,7 +48,8 @@ def test_hot_text_costs_no_pairs(spark):
 def test_oracle(spark):
     from conftest import compare_with_oracle
 
-    compare_with_oracle(spark, "p3_found", queries.p3_found, queries.ORACLES["p3_found"])
+    for name, sql in queries.ORACLES.items():
+        compare_with_oracle(spark, name, queries.QUERIES[name], sql)
 
 
 @pytest.mark.parametrize("table", textforms.LOOKALIKES)
