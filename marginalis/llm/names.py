@@ -485,9 +485,8 @@ def link_names(names: DataFrame) -> DataFrame:
     """
     read = cut(names.mapInPandas(_read, _PROFILE))
     ids = read.groupBy("sure").agg(F.min("name").alias("entity"))
-    members = read.join(ids, "sure").select("name", "entity", "forms", "middle", "hints", "plain", "count")
+    members = cut(read.join(ids, "sure").select("name", "entity", "forms", "middle", "hints", "plain", "count"))
     while True:
-        members = cut(members)
         profiles = members.groupBy(F.col("entity").alias("cid")).agg(
             F.array_distinct(F.flatten(F.collect_set("forms"))).alias("forms"),
             F.array_distinct(F.flatten(F.collect_set("middle"))).alias("middle"),
@@ -496,17 +495,22 @@ def link_names(names: DataFrame) -> DataFrame:
             F.count("*").alias("spellings"),
             F.sum("count").alias("count"),
         )
-        blocks = cut(profiles.mapInPandas(_blocks, _BLOCKS))
-        found = cut(_sought(blocks))
+        # both are read several times within the round; should they get lost, the members are written
+        blocks = profiles.mapInPandas(_blocks, _BLOCKS).persist()
+        blocks.count()  # so that Spark knows its size when it chooses the joins
+        found = _sought(blocks).persist()
         # further tiers are looked at once nothing else merges: until then a name may have more spellings than it seems
         tier = found.agg(F.min("tier")).first()[0]
+        if tier is not None:
+            settled = _one_hop(found.where(F.col("tier") == tier).select("cid_a", "cid_b"))
+            merged = members.join(settled.withColumnRenamed("cid_a", "entity"), "entity", "left").select(
+                "name", F.coalesce("cid_b", "entity").alias("entity"), "forms", "middle", "hints", "plain", "count"
+            )
+            members = cut(merged)
+        found.unpersist()
+        blocks.unpersist()
         if tier is None:
-            break
-        settled = _one_hop(found.where(F.col("tier") == tier).select("cid_a", "cid_b"))
-        members = members.join(settled.withColumnRenamed("cid_a", "entity"), "entity", "left").select(
-            "name", F.coalesce("cid_b", "entity").alias("entity"), "forms", "middle", "hints", "plain", "count"
-        )
-    return members.select("name", "entity")
+            return members.select("name", "entity")
 
 
 #: Kinds of keys in the order in which they are believed; two profiles that offer the same are told apart by none.
@@ -551,7 +555,7 @@ def _one_hop(found: DataFrame) -> DataFrame:
     back = found.select(F.col("cid_a").alias("cid_b"), F.col("cid_b").alias("cid_a"), F.lit(True).alias("mutual"))
     one_way = found.join(back, ["cid_a", "cid_b"], "left").where("mutual is null or cid_b < cid_a").drop("mutual")
     rest = lambda f: f.join(f.select(F.col("cid_a").alias("cid_b")), "cid_b", "left_anti")
-    settled = cut(rest(one_way))
+    settled = rest(one_way)
     # a ring of three and more: those that lead to a smaller id make none
     return rest(found.where("cid_b < cid_a")) if settled.isEmpty() else settled
 
