@@ -37,11 +37,30 @@ def test_found_and_restored(spark):
     damaged = {x[0] for x in rows if x[1] != x[4]}
     found = {i for i, r in got.items() if r.garbled}
     assert len(found & damaged) >= 0.97 * len(damaged) and len(found - damaged) <= 2
-    restored = sum(got[x[0]].restored == x[4] for x in rows if x[0] in damaged)
-    assert restored >= 0.85 * len(damaged)
+    assert sum(got[x[0]].restored == x[4] for x in rows if x[0] in damaged) >= 0.9 * len(damaged)
+    # the English texts name single accented letters, which nothing around them tells apart
+    for lang, share in (("fr", 0.9), ("ru", 0.9), ("ar", 0.9), ("en", 0.7)):
+        own = [x for x in rows if x[0] in damaged and x[3] == lang]
+        assert sum(got[x[0]].restored == x[4] for x in own) >= share * len(own), lang
     assert all(got[i].restored == rows[i][1] for i in got if i not in found)
 
 
+def test_sources_of_any_number_keep_their_frequencies(spark):
+    # of 3000 sources some read Arabic by the wrong table, and some list those very letters
+    def text(i):
+        return ("ÊÏæÑ ÇáãÖÎÉ ãÑÉ", "ar") if i % 50 == 1 else ("تدور المضخة مرة قبل أن تتوقف", "ar") if i % 2 else ("Â Ã Ä Å", "en")
+
+    rows = [(i, text(i)[0], f"s{i}", text(i)[1]) for i in range(3000)]
+    got = {r.doc_id: r.garbled for r in encoding.restore(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()}
+    assert [i for i in got if got[i] != (i % 50 == 1)] == []
+
+
+def test_arrays_score_as_pairs_do():
+    texts = ["où", "", "x" * 70, "١٢٣ 45", "\x02\x03"]
+    pair, first, sizes = encoding.pair_codes(texts)
+    assert list(zip(pair.tolist(), first.tolist(), strict=True)) == [p for t in texts for p in encoding.pairs_of(t)] and sizes.tolist() == [len(t) + 1 for t in texts]
+
+
 def test_nulls_ascii_lost_and_empty(spark):
     schema = "doc_id long, text string, source string, lang string"
     long = "plain text " * 50_000
