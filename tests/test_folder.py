@@ -130,3 +130,17 @@ def test_summaries(spark):
     files = spark.createDataFrame([("a", 40, 40), ("b", 40, 31), ("c", 0, 0), ("d", None, None)], "file string, pages int, pages_mapped int")
     got = {x.file: (x.mapping_coverage, x.pages_beyond_master, x.master_mismatch_suspected) for x in summaries.master_compatibility(files, meta).collect()}
     assert got == {"a": (1.0, 10, False), "b": (0.775, 10, True), "c": (0.0, 0, False), "d": (0.0, 0, False)}
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from marginalis.__main__ import main
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.pdf").write_bytes(b"no document")
+    (tmp_path / "m.json").write_text(json.dumps({"f": {"book_page": "1", "master_pdf_page": 1}}))
+    (tmp_path / "c.json").write_text(json.dumps({"document_key": "book"}))
+    store = str(tmp_path / "store")
+    assert main(["folder", str(tmp_path / "in"), "--store", store, "--config", str(tmp_path / "c.json"), "--master", str(tmp_path / "m.json")]) == 1
+    said = json.loads(capsys.readouterr().out)
+    assert said["files_seen"] == 1 and said["results"][0]["action"] == "ERROR"
+    assert main(["tables", "--store", store]) == 0 and json.loads(capsys.readouterr().out)["files"] == 1
