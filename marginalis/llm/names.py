@@ -495,22 +495,19 @@ def link_names(names: DataFrame) -> DataFrame:
             F.count("*").alias("spellings"),
             F.sum("count").alias("count"),
         )
-        # both are read several times within the round; should they get lost, the members are written
-        blocks = profiles.mapInPandas(_blocks, _BLOCKS).persist()
-        blocks.count()  # so that Spark knows its size when it chooses the joins
-        found = _sought(blocks).persist()
+        # written, as both are read several times, and files tell Spark their size when it chooses the joins
+        blocks = cut(profiles.mapInPandas(_blocks, _BLOCKS))
+        found = cut(_sought(blocks))
         # further tiers are looked at once nothing else merges: until then a name may have more spellings than it seems
         tier = found.agg(F.min("tier")).first()[0]
-        if tier is not None:
-            settled = _one_hop(found.where(F.col("tier") == tier).select("cid_a", "cid_b"))
-            merged = members.join(settled.withColumnRenamed("cid_a", "entity"), "entity", "left").select(
-                "name", F.coalesce("cid_b", "entity").alias("entity"), "forms", "middle", "hints", "plain", "count"
-            )
-            members = cut(merged)
-        found.unpersist()
-        blocks.unpersist()
         if tier is None:
             return members.select("name", "entity")
+        settled = _one_hop(found.where(F.col("tier") == tier).select("cid_a", "cid_b"))
+        members = cut(
+            members.join(settled.withColumnRenamed("cid_a", "entity"), "entity", "left").select(
+                "name", F.coalesce("cid_b", "entity").alias("entity"), "forms", "middle", "hints", "plain", "count"
+            )
+        )
 
 
 #: Kinds of keys in the order in which they are believed; two profiles that offer the same are told apart by none.
